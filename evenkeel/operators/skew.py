@@ -1,0 +1,64 @@
+"""Joins of many rows to one row per key that keep working when one key holds most rows.
+
+Adaptive skew handling does not split a join input that comes out of an aggregation, so rows of
+very frequent keys are joined by broadcast instead: at most ``HOT_KEYS`` lookup rows, a bound that
+does not grow with the data. A key outside that set holds less than 1/HOT_KEYS of the rows.
+Which keys are frequent is only a hint for routing: every row goes exactly one way, so the
+result does not depend on it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+HOT_KEYS = 1000
+HOT_ROWS = 1_000_000
+_TRACKED = 8192
+_SKETCH_GROUPS = 512
+
+
+def key_hash(keys: list[str]) -> Column:
+    return F.xxhash64(*keys)
+
+
+def hot_hashes(rows: DataFrame, keys: list[str], hot_rows: int | None = HOT_ROWS) -> list[int]:
+    """Hashes of at most HOT_KEYS keys that occur about ``hot_rows`` times or more.
+
+    Runs one job over the key columns: frequent-item sketches per task, merged in two levels.
+    The list is read once so that all branches of a plan route by the same set.
+    """
+    if hot_rows is None:
+        return []
+    sketches = (
+        rows.select(key_hash(keys).alias("h"))
+        .groupBy((F.spark_partition_id() % _SKETCH_GROUPS).alias("g"))
+        .agg(F.expr(f"approx_top_k_accumulate(h, {_TRACKED})").alias("s"))
+        .agg(F.expr(f"approx_top_k_combine(s, {_TRACKED})").alias("s"))
+    )
+    top = sketches.select(F.expr(f"inline(approx_top_k_estimate(s, {HOT_KEYS}))"))
+    return [r["item"] for r in top.filter(F.col("count") >= hot_rows).collect()]
+
+
+def is_hot(keys: list[str], hot: list[int]) -> Column:
+    return key_hash(keys).isin(hot)
+
+
+def join_to_unique(
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: list[str],
+    how: str,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """Join ``rows`` to ``lookup``, which has one row per key; keys must not be NULL.
+
+    ``how`` is inner, left, left_semi or left_anti.
+    """
+    hot = hot_hashes(rows, keys, hot_rows)
+    if not hot:
+        return rows.join(lookup, keys, how)
+    mark = is_hot(keys, hot)
+    cold = rows.filter(~mark).join(lookup.filter(~mark), keys, how)
+    few = F.broadcast(lookup.filter(mark))
+    return cold.unionByName(rows.filter(mark).join(few, keys, how))
