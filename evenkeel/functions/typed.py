@@ -6,6 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# What Spark reads as a number or a truth value.
+_DIGITS = r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?"
+NUMBER = rf"^\s*{_DIGITS}\s*$"
+FLOATING = rf"^\s*({_DIGITS}[dDfF]?|[+-]?(?i:inf|infinity|nan))\s*$"
+WHOLE = r"^\s*[+-]?\d+(\.\d*)?\s*$"
+TRUE = ("t", "true", "y", "yes", "1")
+FALSE = ("f", "false", "n", "no", "0")
+
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _NUMBER = (*_WHOLE, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -18,23 +26,29 @@ def is_blank(raw: Column) -> Column:
     return raw.isNull() | (text(raw) == "")
 
 
+def _guarded(raw: Column, shape: str, data_type: str) -> Column:
+    """Cast only texts of the right shape: a failing cast costs far more than a pattern test."""
+    x = text(raw)
+    return F.when(x.rlike(shape), x).try_cast(data_type)
+
+
 def as_numeric(raw: Column) -> Column:
-    return text(raw).try_cast("decimal(38,10)")
+    return _guarded(raw, NUMBER, "decimal(38,10)")
 
 
 def as_integer(raw: Column) -> Column:
     """Whole part of a decimal number: ``1.9`` is 1, overflow is NULL."""
     x = text(raw)
-    whole = F.when(x.rlike(r"^[+-]?\d+\.\d*$"), F.substring_index(x, ".", 1))
-    return F.coalesce(x.try_cast("bigint"), whole.try_cast("bigint"))
+    return F.when(x.rlike(WHOLE), F.substring_index(x, ".", 1)).try_cast("bigint")
 
 
 def as_double(raw: Column) -> Column:
-    return text(raw).try_cast("double")
+    return _guarded(raw, FLOATING, "double")
 
 
 def as_boolean(raw: Column) -> Column:
-    return text(raw).try_cast("boolean")
+    x = F.lower(F.trim(raw.cast("string"), F.lit(" \t\r\n")))
+    return F.when(x.isin(*TRUE), F.lit(True)).when(x.isin(*FALSE), F.lit(False))
 
 
 def as_date(raw: Column, pattern: str | None = None) -> Column:

@@ -1,10 +1,11 @@
 """Match source to target columns by name, over a column catalog of many table pairs.
 
 Comparing all source names of a pair with all its target names would be quadratic in the width of
-the tables. Two names that reach the cutoff differ by few insertions and deletions, so when the
-source name is cut into one piece more than that number, at least one piece occurs unchanged in
-the target name, moved by at most that number. Names are joined on these pieces, which loses no
-pair, and only the joined ones are scored.
+the tables. Two names that reach the cutoff differ by at most some number d of edits. Cut the source
+name into more than d pieces; then for some i <= d the i-th piece (from 0) occurs unchanged in the
+target name with exactly i edits left of it, so it is moved by at most i, and what follows it by at
+most d - i. Names are joined on these pieces, which loses no pair, and only the joined ones are
+scored.
 """
 
 from __future__ import annotations
@@ -13,20 +14,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import levenshtein_ratio, name_key, sequence_ratio
+from ..sources.save import settle
 
 CUTOFF = 0.90
 _SLACK = 1e-9
 
 
-def _edits(length: Column, measure: str, cutoff: float) -> Column:
+def _most_edits(length: Column, measure: str, cutoff: float) -> Column:
     """Most edits between a name of this length and any other that reaches the cutoff."""
-    if measure == "sequence":  # insertions + deletions <= (1 - cutoff) * (both lengths)
+    if measure == "sequence":  # insertions + deletions <= (1 - cutoff) * sum of the lengths
         share = 2 * (1 - cutoff) / cutoff
-    else:  # distance <= (1 - cutoff) * longer length
+    else:  # edits <= (1 - cutoff) * longer length
         share = (1 - cutoff) / cutoff
     return F.floor(length * F.lit(share) + F.lit(_SLACK)).cast("int")
 
 
+def _edits(a: Column, b: Column, measure: str, cutoff: float) -> Column:
+    """Most edits between two names of these lengths that reach the cutoff."""
+    size = a + b if measure == "sequence" else F.greatest(a, b)
+    return F.floor(size * F.lit(1 - cutoff) + F.lit(_SLACK)).cast("int")
+
+
 def _length_range(length: Column, measure: str, cutoff: float) -> tuple[Column, Column]:
     """Shortest and longest partner of a name of this length."""
     ratio = cutoff / (2 - cutoff) if measure == "sequence" else cutoff
@@ -44,58 +52,75 @@ def _piece(size: Column, pieces: Column, i: Column) -> tuple[Column, Column]:
 
 def _source_pieces(names: DataFrame, measure: str, cutoff: float) -> DataFrame:
     size = F.length("key")
-    rows = names.select("pair", "key", size.alias("size"), _edits(size, measure, cutoff).alias("d"))
-    rows = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("d"))))
-    start, length = _piece(F.col("size"), F.col("d") + 1, F.col("i"))
+    most = _most_edits(size, measure, cutoff)
+    rows = names.select("pair", "key", "first", size.alias("size"), most.alias("most"))
+    rows = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("most"))))
+    start, length = _piece(F.col("size"), F.col("most") + 1, F.col("i"))
+    piece = F.substring(F.col("key"), start + 1, length)
     return rows.select(
-        "pair",
+        F.xxhash64("pair", "size", "i", piece).alias("h"),
+        F.col("pair").alias("source_pair"),
         F.col("key").alias("source_key"),
-        "size",
-        "i",
-        F.substring(F.col("key"), start + 1, length).alias("piece"),
+        F.col("first").alias("source"),
     )
 
 
 def _target_pieces(names: DataFrame, measure: str, cutoff: float) -> DataFrame:
     """The pieces a target name may share with source names of every fitting length."""
-    low, high = _length_range(F.length("key"), measure, cutoff)
-    rows = names.select("pair", "key", F.explode(F.sequence(low, high)).alias("size"))
-    rows = rows.withColumn("d", _edits(F.col("size"), measure, cutoff))
+    own = F.length("key")
+    low, high = _length_range(own, measure, cutoff)
+    rows = names.select("pair", "key", "first", F.explode(F.sequence(low, high)).alias("size"))
+    rows = rows.withColumn("d", _edits(own, F.col("size"), measure, cutoff))
     rows = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("d"))))
-    start, length = _piece(F.col("size"), F.col("d") + 1, F.col("i"))
-    rows = rows.select("pair", "key", "size", "i", "d", start.alias("start"), length.alias("len"))
-    first = F.greatest(F.lit(0), F.col("start") - F.col("d"))
-    last = F.least(F.length("key") - F.col("len"), F.col("start") + F.col("d"))
-    rows = rows.filter(first <= last).withColumn("at", F.explode(F.sequence(first, last)))
-    return rows.select(
+    pieces = _most_edits(F.col("size"), measure, cutoff) + 1
+    start, length = _piece(F.col("size"), pieces, F.col("i"))
+    longer = own - F.col("size")
+    right = F.col("d") - F.col("i")
+    rows = rows.select(
         "pair",
-        F.col("key").alias("target_key"),
+        "key",
+        "first",
         "size",
         "i",
-        F.substring(F.col("key"), F.col("at") + 1, F.col("len")).alias("piece"),
-    ).distinct()
+        start.alias("start"),
+        length.alias("len"),
+        F.greatest(-F.col("i"), longer - right, -start).alias("low"),
+        F.least(F.col("i"), longer + right, own - length - start).alias("high"),
+    )
+    shifts = F.explode(F.sequence("low", "high"))
+    rows = rows.filter("low <= high").withColumn("shift", shifts)
+    piece = F.substring(F.col("key"), F.col("start") + F.col("shift") + 1, F.col("len"))
+    return rows.select(
+        F.xxhash64("pair", "size", "i", piece).alias("h"),
+        "pair",
+        F.col("key").alias("target_key"),
+        F.col("first").alias("target"),
+    )
 
 
 def keyed_names(catalog: DataFrame, side: str) -> DataFrame:
-    """One row per pair and name key: the column that comes first."""
+    """pair, key and the first column (ordinal, column_name) of every name key of one side."""
     rows = catalog.filter(F.col("side") == side)
-    least = F.min(F.struct("ordinal", "column_name")).alias("c")
-    groups = rows.groupBy("pair", name_key(F.col("column_name")).alias("key")).agg(least)
-    return groups.select("pair", "key", "c.ordinal", "c.column_name")
+    least = F.min(F.struct("ordinal", "column_name")).alias("first")
+    return rows.groupBy("pair", name_key(F.col("column_name")).alias("key")).agg(least)
 
 
 def similar_keys(
     source: DataFrame, target: DataFrame, measure: str = "sequence", cutoff: float = CUTOFF
 ) -> DataFrame:
-    """pair, source_key, target_key, score of all name keys (pair, key) that reach the cutoff."""
+    """pair, source_key, target_key, source, target, score of all keys that reach the cutoff.
+
+    Both inputs come from ``keyed_names``; ``source`` and ``target`` are their first columns.
+    """
     if measure not in ("sequence", "levenshtein"):
         raise ValueError(f"measure must be 'sequence' or 'levenshtein', not {measure!r}")
     if not 0.5 <= cutoff <= 1:
         raise ValueError("cutoff must lie between 0.5 and 1")
-    left = _source_pieces(source.select("pair", "key"), measure, cutoff)
-    right = _target_pieces(target.select("pair", "key"), measure, cutoff)
-    found = left.join(right, ["pair", "size", "i", "piece"])
-    found = found.select("pair", "source_key", "target_key").distinct()
+    left, right = _source_pieces(source, measure, cutoff), _target_pieces(target, measure, cutoff)
+    # Sizes of exploded rows are badly estimated, so a broadcast must not be chosen by them.
+    same = (left["h"] == right["h"]) & (left["source_pair"] == right["pair"])
+    found = left.hint("merge").join(right, same)
+    found = found.select("pair", "source_key", "target_key", "source", "target").distinct()
     if measure == "sequence":
         score = sequence_ratio(F.col("source_key"), F.col("target_key"))
     else:
@@ -115,50 +140,72 @@ def match_columns(
     Every source column wants the target of the highest score, the first on ties; a target goes
     to the first source that wants it, and there is no second choice. ``overrides`` (pair,
     source_column, target_column) may then place what is left. match_type is one-to-one, override,
-    unmapped_source or unmapped_target. Scores of candidates are compared before any shuffle of
-    whole groups, so pairs may be of any width.
+    unmapped_source or unmapped_target. Best scores are reduced before the shuffle, so pairs may
+    be of any width.
     """
     sources, targets = keyed_names(catalog, "source"), keyed_names(catalog, "target")
     scores = similar_keys(sources, targets, measure, cutoff)
-    by_target = targets.select("pair", F.col("key").alias("target_key"), "ordinal", "column_name")
-    rank = F.struct(-F.col("score"), "ordinal", "column_name")
-    wanted = (
-        scores.join(by_target, ["pair", "target_key"])
-        .groupBy("pair", "source_key")
-        .agg(F.min(rank).alias("best"))
-        .select("pair", "source_key", F.col("best.column_name").alias("target_column"))
+    wanted = scores.groupBy("pair", "source_key").agg(
+        F.min(F.struct(-F.col("score"), "target.ordinal", "target.column_name")).alias("best"),
+        F.min("source").alias("source"),
     )
-    by_source = sources.select("pair", F.col("key").alias("source_key"), "ordinal", "column_name")
-    first = F.min(F.struct("ordinal", "column_name"))
     matched = (
-        wanted.join(by_source, ["pair", "source_key"])
-        .groupBy("pair", "target_column")
-        .agg(first.alias("c"))
+        wanted.groupBy("pair", F.col("best.column_name").alias("target_column"))
+        .agg(F.min("source").alias("c"))
         .select("pair", F.col("c.column_name").alias("source_column"), "target_column")
         .withColumn("match_type", F.lit("one-to-one"))
     )
+    columns = _with_partners(catalog, matched)
     if overrides is not None:
-        matched = matched.unionByName(_placed(catalog, matched, overrides))
-    return matched.unionByName(_unmapped(catalog, matched))
+        columns = settle(columns)
+        columns = _with_partners(columns, _placed(columns, overrides))
+    return _as_mapping(columns)
 
 
-def _left_over(catalog: DataFrame, matched: DataFrame, side: str) -> DataFrame:
-    column = f"{side}_column"
-    own = catalog.filter(F.col("side") == side)
-    own = own.groupBy("pair", F.col("column_name").alias(column)).agg(F.min("ordinal").alias("ordinal"))
-    return own.join(matched.select("pair", column), ["pair", column], "left_anti")
+def _with_partners(columns: DataFrame, matched: DataFrame) -> DataFrame:
+    """Catalog columns with the partner and match_type they have got so far, in one shuffle."""
+    kept = ["pair", "side", "column_name", "ordinal", "partner", "match_type"]
+    none = F.lit(None).cast("string")
+    if "partner" not in columns.columns:
+        columns = columns.withColumns({"partner": none, "match_type": none})
+
+    def end(side: str, column: str, partner: str) -> Column:
+        return F.struct(
+            F.lit(side).alias("side"),
+            F.col(column).alias("column_name"),
+            F.lit(None).cast("int").alias("ordinal"),
+            F.col(partner).alias("partner"),
+            "match_type",
+        )
+
+    ends = F.array(
+        end("source", "source_column", "target_column"),
+        end("target", "target_column", "source_column"),
+    )
+    found = matched.select("pair", F.inline(ends))
+    rows = columns.select(kept).unionByName(found)
+    return rows.groupBy("pair", "side", "column_name").agg(
+        F.min("ordinal").alias("ordinal"),
+        F.min("partner").alias("partner"),
+        F.min("match_type").alias("match_type"),
+    )
 
 
-def _placed(catalog: DataFrame, matched: DataFrame, overrides: DataFrame) -> DataFrame:
+def _placed(columns: DataFrame, overrides: DataFrame) -> DataFrame:
     """Overrides between columns that are still free; the first source wins a target."""
-    free_source = _left_over(catalog, matched, "source")
-    free_target = _left_over(catalog, matched, "target").select("pair", "target_column")
+    free = columns.filter(F.col("partner").isNull())
+    sources = free.filter("side = 'source'").select(
+        "pair", F.col("column_name").alias("source_column"), "ordinal"
+    )
+    targets = free.filter("side = 'target'").select(
+        "pair", F.col("column_name").alias("target_column")
+    )
     wishes = overrides.groupBy("pair", "source_column").agg(
         F.min("target_column").alias("target_column")
     )
     return (
-        wishes.join(free_source, ["pair", "source_column"])
-        .join(free_target, ["pair", "target_column"], "left_semi")
+        wishes.join(sources, ["pair", "source_column"])
+        .join(targets, ["pair", "target_column"], "left_semi")
         .groupBy("pair", "target_column")
         .agg(F.min(F.struct("ordinal", "source_column")).alias("c"))
         .select("pair", F.col("c.source_column").alias("source_column"), "target_column")
@@ -166,21 +213,16 @@ def _placed(catalog: DataFrame, matched: DataFrame, overrides: DataFrame) -> Dat
     )
 
 
-def _unmapped(catalog: DataFrame, matched: DataFrame) -> DataFrame:
-    none = F.lit(None).cast("string")
-    source = _left_over(catalog, matched, "source").select(
-        "pair",
-        "source_column",
-        none.alias("target_column"),
-        F.lit("unmapped_source").alias("match_type"),
-    )
-    target = _left_over(catalog, matched, "target").select(
+def _as_mapping(columns: DataFrame) -> DataFrame:
+    """One row per match and per column without one."""
+    source = F.col("side") == "source"
+    rows = columns.filter(source | F.col("partner").isNull())
+    return rows.select(
         "pair",
-        none.alias("source_column"),
-        "target_column",
-        F.lit("unmapped_target").alias("match_type"),
+        F.when(source, F.col("column_name")).alias("source_column"),
+        F.when(source, F.col("partner")).otherwise(F.col("column_name")).alias("target_column"),
+        F.coalesce("match_type", F.concat(F.lit("unmapped_"), "side")).alias("match_type"),
     )
-    return source.unionByName(target)
 
 
 def backfill(mapping: DataFrame, catalog: DataFrame) -> DataFrame:

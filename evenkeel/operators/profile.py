@@ -28,12 +28,17 @@ def _shape_bit(value: Column, blanks: str) -> Column:
     bit = F.when(value.isNull(), F.lit(None).cast("int"))
     if blanks == "ignore":
         bit = bit.when(x == "", F.lit(None).cast("int"))
+    plain, other = F.when(F.lit(False), F.lit(0)), F.lit(_OTHER)
     for i, (kind, pattern, regex) in enumerate(SHAPES):
         fits = x.rlike(regex)
+        if kind == "boolean":  # the only shape that does not begin like a number
+            bit = bit.when(~x.rlike(r"^-?\d"), F.when(fits, F.lit(1 << i)).otherwise(other))
+            continue
         if kind == "date":
-            fits = fits & F.try_to_date(x, pattern).isNotNull()
-        bit = bit.when(fits, F.lit(1 << i))
-    return bit.otherwise(F.lit(_OTHER))
+            day = x.try_cast("date") if pattern == "yyyy-MM-dd" else F.try_to_date(x, pattern)
+            fits = fits & day.isNotNull()
+        plain = plain.when(fits, F.lit(1 << i))
+    return bit.otherwise(plain.otherwise(other))
 
 
 def _native(dtype: T.DataType) -> tuple[str, str | None] | None:
@@ -62,17 +67,21 @@ def infer_types(
     if blanks not in ("ignore", "string"):
         raise ValueError(f"blanks must be 'ignore' or 'string', not {blanks!r}")
     rows = df.limit(sample_rows) if sample_rows else df
-    masks = []
+    values = []
     for i, f in enumerate(df.schema.fields):
-        if _native(f.dataType) is not None:
-            continue
-        value = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DecimalType):
-            bit = F.when(value.isNotNull(), F.when(value == F.floor(value), 1).otherwise(2))
-        else:
-            bit = _shape_bit(value, blanks)
-        masks.append(F.bit_or(bit).alias(f"m{i}"))
-    totals = rows.agg(F.lit(0).alias("_none"), *masks)
+        if _native(f.dataType) is None:
+            value = F.col(f"`{f.name}`")
+            if isinstance(f.dataType, T.DecimalType):
+                value = F.when(value == F.floor(value), "0").otherwise(value.cast("string"))
+            values.append(F.struct(F.lit(i).alias("i"), value.alias("v")))
+    # One shape expression over (column, value) rows; they are reduced to one mask per column
+    # before the shuffle, and the masks are as many as there are columns.
+    if values:
+        shapes = rows.select(F.inline(F.array(*values))).groupBy("i")
+        masks = shapes.agg(F.bit_or(_shape_bit(F.col("v"), blanks)).alias("mask"))
+        totals = masks.agg(F.map_from_entries(F.collect_list(F.struct("i", "mask"))).alias("masks"))
+    else:
+        totals = rows.agg(F.lit(0).alias("masks"))
 
     integer, double = F.lit(1), F.lit(2)
     found = []
@@ -81,7 +90,7 @@ def infer_types(
         if native:
             kind, pattern = F.lit(native[0]), F.lit(native[1])
         else:
-            mask = F.col(f"m{i}")
+            mask = F.try_element_at("masks", F.lit(i))
             kind = F.when(mask == integer, "integer")
             kind = kind.when((mask == double) | (mask == 3), "double")
             pattern = F.when(F.lit(False), F.lit(""))

@@ -97,7 +97,7 @@ def check_sql(name: str, counters: dict[str, str], failed: str, source: str) ->
 _COUNTS = """
 n as (select sum(n_src) srows, sum(n_tgt) trows, sum(cast(n_src > 1 as int)) sdup,
              sum(cast(n_tgt > 1 as int)) tdup, sum(cast(n_tgt = 0 as int)) sonly,
-             sum(cast(n_src = 0 as int)) tonly, sum(cast(n_src > 0 and n_tgt > 0 as int)) both,
+             sum(cast(n_src = 0 as int)) tonly, sum(cast(n_src > 0 and n_tgt > 0 as int)) matched,
              sum(cast({any} as int)) bad, sum({fields}) fields from c)
 """.format(
     any=" or ".join(f"d_{c.source}" for c in MAPPING.compare),
@@ -121,7 +121,7 @@ MISSING = check_sql(
     {
         "extra_records_in_source_count": "sonly",
         "extra_records_in_target_count": "tonly",
-        "matched_key_count": "both",
+        "matched_key_count": "matched",
     },
     "sonly > 0 or tonly > 0",
     "n",
@@ -185,7 +185,7 @@ select srows source_count, trows target_count,
        0 failed_declared_type_cast_columns,
        {failures},
        sdup source_duplicate_keys, tdup target_duplicate_keys, sonly extra_records_in_source,
-       tonly extra_records_in_target, both matched_key_count, bad mismatch_record_count,
+       tonly extra_records_in_target, matched matched_key_count, bad mismatch_record_count,
        fields mismatch_field_count,
        (select case when max(cast(status = 'FAIL' as int)) = 1 then 'FAIL' else 'PASS' end
         from ({checks}) x) overall_status

@@ -42,7 +42,9 @@ def _similar(measure):
         catalog = run(spark, sf_dir, CATALOG)
         sources, targets = (M.keyed_names(catalog, s) for s in ("source", "target"))
         found = M.similar_keys(sources, targets, measure)
-        return found.withColumn("score", F.round("score", 6))
+        return found.select(
+            "pair", "source_key", "target_key", F.round("score", 6).alias("score")
+        )
 
     return query
 

@@ -46,6 +46,8 @@ def save(
     writer = (df.coalesce(1) if single else df).write.mode(mode)
     if fmt == "csv":
         writer = writer.option("header", True).option("nullValue", "").option("emptyValue", "")
+        writer = writer.option("ignoreLeadingWhiteSpace", False)
+        writer = writer.option("ignoreTrailingWhiteSpace", False)
     elif fmt == "json":
         writer = writer.option("ignoreNullFields", False)
     writer.format(fmt).save(path)
