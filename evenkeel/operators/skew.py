@@ -34,6 +34,7 @@ def hot_hashes(rows: DataFrame, keys: list[str], hot_rows: int | None = HOT_ROWS
         rows.select(key_hash(keys).alias("h"))
         .groupBy((F.spark_partition_id() % _SKETCH_GROUPS).alias("g"))
         .agg(F.expr(f"approx_top_k_accumulate(h, {_TRACKED})").alias("s"))
+        .groupBy(F.lit("all"))  # no group, and no sketch to combine, where there are no rows
         .agg(F.expr(f"approx_top_k_combine(s, {_TRACKED})").alias("s"))
     )
     top = sketches.select(F.expr(f"inline(approx_top_k_estimate(s, {HOT_KEYS}))"))
