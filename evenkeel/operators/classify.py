@@ -124,3 +124,15 @@ def classify(
         .otherwise("equal")
     )
     return pairs.withColumn("state", state)
+
+
+def slim(classified: DataFrame) -> DataFrame:
+    """The same frame without the rows' values where no check or detail reads them.
+
+    Rows that agree and are unique keep only their key and counters, so that what is stored of a
+    comparison grows with the findings rather than with the tables.
+    """
+    found = (F.col("state") != "equal") | (F.col("n_src") > 1) | (F.col("n_tgt") > 1)
+    return classified.withColumns(
+        {"src": F.when(found, F.col("src")), "tgt": F.when(found, F.col("tgt"))}
+    )

@@ -11,8 +11,9 @@ from pyspark.storagelevel import StorageLevel
 from ..mapping import Mapping
 from ..operators import checks as C
 from ..operators import compare, drift
-from ..operators.classify import classify
+from ..operators.classify import classify, slim
 from ..operators.layout import require_columns
+from ..sources.save import settle
 
 DRIFTS = {
     "exact": drift.drift_exact,
@@ -24,7 +25,9 @@ DRIFTS = {
 class Validation:
     """Lazy frames of one comparison of ``source`` with ``target``.
 
-    Use it as a context manager to keep the classified frame while several results are read.
+    Use it as a context manager to keep the classified frame while several results are read; with
+    ``settled`` it is written to the shared checkpoint folder instead of being cached, which spares
+    a recomputation when executors are lost.
     ``drift_rule`` is exact, family or typed. ``partition_by`` (source column, target column) adds
     an informational count of business partitions whose row numbers differ.
     """
@@ -39,9 +42,11 @@ class Validation:
         drift_rule: str = "typed",
         strict: bool = True,
         partition_by: tuple[str, str] | None = None,
+        settled: bool = False,
     ):
         self.source, self.target, self.mapping = source, target, mapping
         self.null_keys, self.drift_rule, self.partition_by = null_keys, drift_rule, partition_by
+        self.settled = settled
         self.missing = {
             "source": require_columns(source, mapping, "source", strict),
             "target": require_columns(target, mapping, "target", strict),
@@ -58,14 +63,18 @@ class Validation:
 
     @cached_property
     def classified(self) -> DataFrame:
-        return classify(self.source, self.target, self.compared, self.null_keys)
+        return slim(classify(self.source, self.target, self.compared, self.null_keys))
 
     def __enter__(self) -> Validation:
-        self.classified.persist(StorageLevel.MEMORY_AND_DISK)
+        if self.settled:
+            self.classified = settle(self.classified)
+        else:
+            self.classified.persist(StorageLevel.MEMORY_AND_DISK)
         return self
 
     def __exit__(self, *exc) -> None:
-        self.classified.unpersist()
+        if not self.settled:
+            self.classified.unpersist()
 
     @cached_property
     def source_cast_failures(self) -> DataFrame:

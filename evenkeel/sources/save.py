@@ -51,20 +51,13 @@ def save(
     elif fmt == "json":
         writer = writer.option("ignoreNullFields", False)
     writer.format(fmt).save(path)
-    if fmt == "csv" and not single and not _has_parts(df.sparkSession, path):
+    if fmt == "csv" and not single and df.sparkSession.read.text(path).isEmpty():
         # Nothing was written, not even the header.
         empty = df.sparkSession.createDataFrame([], df.schema).repartition(1)
         save(empty, path, fmt, single=True, mode="overwrite")
     return path
 
 
-def _has_parts(spark: SparkSession, path: str) -> bool:
-    try:
-        return bool(spark.read.text(path).inputFiles())
-    except Exception:  # an empty folder has no schema to read
-        return False
-
-
 def as_text(df: DataFrame, mapping: Mapping | None = None, side: str = "target") -> DataFrame:
     """Columns as a text file can hold them: dates by their declared pattern, else ISO; nested as JSON."""
     patterns = {c.on(side): c.date_format for c in mapping.columns} if mapping else {}

@@ -114,8 +114,9 @@ def numbers(text):
     )
 
 
-def test_canonical_numbers(numbers):
-    with Validation(*numbers) as run:
+@pytest.mark.parametrize("settled", [False, True])
+def test_canonical_numbers(numbers, settled):
+    with Validation(*numbers, settled=settled) as run:
         assert values(run.duplicate_keys("source")) == [("7", 2)]
         assert values(run.duplicate_keys("target")) == [("10", 2)]
         assert values(run.extra_in_source) == [("7",)]
