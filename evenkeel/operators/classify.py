@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.normalize import differs, norm, plain
 from ..mapping import ColumnMap, Mapping
@@ -51,12 +52,26 @@ def keyed(
     return df.select(*key_exprs(df, mapping, side, null_keys), row.alias("row"))
 
 
-def survivors(rows: DataFrame, keys: list[str], count: str = "n", row: str = "row") -> DataFrame:
+_FIXED_WIDTH = (T.BooleanType, T.IntegralType, T.DateType)
+
+
+def survivors(
+    rows: DataFrame, keys: list[str], count: str = "n", row: str = "row", keys_only: bool = False
+) -> DataFrame:
     """One row per key: the least one, with the number of rows it stands for.
 
+    ``keys_only`` says that the rows hold nothing but the raw values of the keys.
+
     Rows are reduced before the shuffle, so a key with very many rows costs no more than others.
     """
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(count), F.min("row").alias(row))
+    fields = rows.schema["row"].dataType.fields
+    number = F.count(F.lit(1)).alias(count)
+    if keys_only and all(isinstance(f.dataType, _FIXED_WIDTH) for f in fields):
+        # Hash aggregation can reduce these types, each column on its own.
+        least = [F.min(F.col("row").getField(f.name)).alias(f"_v{i}") for i, f in enumerate(fields)]
+        whole = F.struct(*[F.col(f"_v{i}").alias(f.name) for i, f in enumerate(fields)])
+        return rows.groupBy(*keys).agg(number, *least).select(*keys, count, whole.alias(row))
+    return rows.groupBy(*keys).agg(number, F.min("row").alias(row))
 
 
 def paired(
@@ -71,8 +86,11 @@ def paired(
     Each side is shuffled once; the join runs on the partitioning and order of the aggregation.
     """
     keys = key_columns(mapping, null_keys)
-    src = survivors(keyed(source, mapping, "source", columns, null_keys), keys, "n_src", "src")
-    tgt = survivors(keyed(target, mapping, "target", columns, null_keys), keys, "n_tgt", "tgt")
+    bare = columns == mapping.keys
+    left = keyed(source, mapping, "source", columns, null_keys)
+    right = keyed(target, mapping, "target", columns, null_keys)
+    src = survivors(left, keys, "n_src", "src", bare)
+    tgt = survivors(right, keys, "n_tgt", "tgt", bare)
     joined = src.join(tgt, keys, "full_outer")
     none = F.lit(0).cast("bigint")
     return joined.select(

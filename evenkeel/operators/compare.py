@@ -44,7 +44,8 @@ def distinct_keys(df: DataFrame, mapping: Mapping, side: str) -> DataFrame:
 
 def duplicate_keys(df: DataFrame, mapping: Mapping, side: str) -> DataFrame:
     """Keys with more than one row: least raw key and number of rows."""
-    groups = survivors(keyed(df, mapping, side, mapping.keys), key_columns(mapping), "count")
+    rows = keyed(df, mapping, side, mapping.keys)
+    groups = survivors(rows, key_columns(mapping), "count", keys_only=True)
     names = [F.col("row").getField(k).alias(k) for k in mapping.key_names]
     return groups.filter(F.col("count") > 1).select(*names, "count")
 

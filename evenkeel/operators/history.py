@@ -18,6 +18,40 @@ PRICE_PER_HOUR = 0.44
 ORCHESTRATION_FEE = 8 * 0.000025
 NOTIFICATION_FEE = 0.0000005
 
+# Summary columns the closing reports read, with their types.
+SUMMARY_COLUMNS = {
+    "source_format": "string",
+    "target_format": "string",
+    "source_count": "bigint",
+    "target_count": "bigint",
+    "total_mismatch": "bigint",
+    "extra_records_in_source": "bigint",
+    "extra_records_in_target": "bigint",
+    "source_duplicate_keys": "bigint",
+    "target_duplicate_keys": "bigint",
+    "row_count_status": "string",
+    "schema_drift_status": "string",
+    "initial_target_count": "bigint",
+    "final_target_count": "bigint",
+    "total_updates": "bigint",
+    "total_column_updates": "bigint",
+    "total_inserts": "bigint",
+    "total_deletes": "bigint",
+    "net_change": "bigint",
+    "overall_status": "string",
+}
+
+
+def history_row(manifest: DataFrame) -> DataFrame:
+    """A manifest row in the one schema all stages share, ready to be appended to the history."""
+    if "mismatch_record_count" in manifest.columns:
+        manifest = manifest.withColumn("total_mismatch", F.col("mismatch_record_count"))
+    have = set(manifest.columns)
+    columns = [
+        (F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in SUMMARY_COLUMNS.items()
+    ]
+    return manifest.select("pipeline", "stage", "run_id", "run_ts", *columns)
+
 
 def latest_run(history: DataFrame) -> DataFrame:
     """The newest run of every pipeline and stage; of equal times, the greater run id."""

@@ -161,9 +161,10 @@ def plan_repair(
     null_update: str = "keep",
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Every row of the repair in one pass: ``_action``, ``_changed`` and the columns of the target.
+    """Every row of the repair in one pass: what happens to it and the columns of the target.
 
-    ``_action`` is keep, update, insert or delete. Source rows are reduced to one per key and joined
+    ``_action`` is keep, update, insert or delete, ``_changed`` names the replaced columns, ``_stays``
+    is false for deleted rows only and costs no comparison of values. Source rows are reduced to one per key and joined
     to all target rows by one full outer join; rows of very frequent target keys take a broadcast.
     """
     keys = key_columns(mapping)
@@ -192,12 +193,17 @@ def plan_repair(
         F.when(F.col("tgt").isNull(), new).otherwise(old).alias(name)
         for name, old, new in zip(target.columns, row.corrected(), row.inserted())
     ]
-    return joined.select(action.alias("_action"), F.col("changed").alias("_changed"), *values)
+    return joined.select(
+        action.alias("_action"),
+        F.col("changed").alias("_changed"),
+        F.col("src").isNotNull().alias("_stays"),
+        *values,
+    )
 
 
 def repaired(plan: DataFrame) -> DataFrame:
     """The target after the repair."""
-    return plan.filter("_action <> 'delete'").drop("_action", "_changed")
+    return plan.filter("_stays").drop("_action", "_changed", "_stays")
 
 
 def repair_summary(plan: DataFrame) -> DataFrame:

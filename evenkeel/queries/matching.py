@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.names import name_key
 from ..operators import matching as M
 from ..operators.profile import infer_types
+from ..plans.generate import generate_mapping
 from .inputs import run
 
 _PAIR = "concat('pair_', cast(l_orderkey as string))"
@@ -109,6 +110,20 @@ def infer_types_query(spark, sf_dir):
     return infer_types(run(spark, sf_dir, PROFILED))
 
 
+def generate_mapping_query(spark, sf_dir):
+    """A mapping from the text table to one whose columns are spelled otherwise."""
+    source = run(spark, sf_dir, PROFILED)
+    target = source.select(
+        *[F.col(c).alias(c.upper().replace("_", "")) for c in source.columns if c not in _RENAMED],
+        *[F.col(c).alias(t) for c, t in _RENAMED.items()],
+        F.lit(1).alias("load_batch"),
+    )
+    return generate_mapping(source, target, {"price": "amount", "flag": "no_such_column"})
+
+
+_RENAMED = {"price": "amount", "flag": "marker"}
+
+
 # --- SQL side -----------------------------------------------------------------------------------
 
 _KEY = "regexp_replace(lower(column_name), '[^a-z0-9]+', '', 'g')"
@@ -226,5 +241,15 @@ QUERIES = {
         "match_type from g left join h on h.pair = g.pair and h.column_name = source_column "
         "where source_column is not null",
     ),
+    "generate_mapping": (
+        generate_mapping_query,
+        f"with x as ({PROFILED}), y as ({_INFERRED}) select column_name source_column, "
+        "case column_name when 'price' then 'amount' when 'flag' then null "
+        "else upper(replace(column_name, '_', '')) end target_column, "
+        "case column_name when 'price' then 'override' when 'flag' then 'unmapped_source' "
+        "else 'one-to-one' end match_type, data_type, date_format from y "
+        "union all values (null, 'marker', 'unmapped_target', null, null), "
+        "(null, 'load_batch', 'unmapped_target', null, null)",
+    ),
     "infer_types": (infer_types_query, f"with x as ({PROFILED}) {_INFERRED}"),
 }

@@ -108,9 +108,12 @@ def read_declared(
     return to_declared(load(spark, ref, **options), mapping, side)
 
 
-def load(spark: SparkSession, ref: str, **options) -> DataFrame:
-    """Read ``ref``: a path by its suffix, ``table:name`` or ``jdbc:table`` (with ``url=``)."""
-    kind = detect_format(ref)
+def load(spark: SparkSession, ref: str, fmt: str | None = None, **options) -> DataFrame:
+    """Read ``ref``: a path by its suffix, ``table:name`` or ``jdbc:table`` (with ``url=``).
+
+    ``fmt`` names the format of a path without suffix.
+    """
+    kind = fmt or detect_format(ref)
     if kind == "table":
         return spark.table(ref.removeprefix("table:"))
     if kind == "jdbc":
