@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..mapping import KINDS, SPARK_TYPES, Mapping
+from .small import small_frame
 
 CATALOG = "pair string, side string, column_name string, ordinal int, data_type string"
 DECLARED = "pair string, column_name string, declared_data_type string"
@@ -43,12 +44,12 @@ def column_catalog(
         (pair, side, common.get(f.name, f.name), i, f.dataType.simpleString())
         for i, f in enumerate(df.schema.fields)
     ]
-    return spark.createDataFrame(rows, CATALOG)
+    return small_frame(spark, rows, CATALOG)
 
 
 def declared_columns(spark: SparkSession, pair: str, mapping: Mapping) -> DataFrame:
     rows = [(pair, mapping.name(c), c.data_type) for c in mapping.columns]
-    return spark.createDataFrame(rows, DECLARED)
+    return small_frame(spark, rows, DECLARED)
 
 
 def column_types(declared: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.typed import text
+from .small import small_frame
 
 # What a text can look like, in order of precedence: data type, date_format, pattern.
 SHAPES = [
@@ -67,43 +68,36 @@ def infer_types(
     if blanks not in ("ignore", "string"):
         raise ValueError(f"blanks must be 'ignore' or 'string', not {blanks!r}")
     rows = df.limit(sample_rows) if sample_rows else df
-    values = []
+    values, known = [], []
     for i, f in enumerate(df.schema.fields):
-        if _native(f.dataType) is None:
+        native = _native(f.dataType)
+        known.append((f.name, i, *(native or (None, None))))
+        if native is None:
             value = F.col(f"`{f.name}`")
             if isinstance(f.dataType, T.DecimalType):
                 value = F.when(value == F.floor(value), "0").otherwise(value.cast("string"))
-            values.append(F.struct(F.lit(i).alias("i"), value.alias("v")))
+            values.append(F.struct(F.lit(i).alias("ordinal"), value.alias("v")))
+    columns = small_frame(
+        df.sparkSession,
+        known,
+        "column_name string, ordinal int, data_type string, date_format string",
+    )
+    if not values:
+        return columns
     # One shape expression over (column, value) rows; they are reduced to one mask per column
     # before the shuffle, and the masks are as many as there are columns.
-    if values:
-        shapes = rows.select(F.inline(F.array(*values))).groupBy("i")
-        masks = shapes.agg(F.bit_or(_shape_bit(F.col("v"), blanks)).alias("mask"))
-        totals = masks.agg(F.map_from_entries(F.collect_list(F.struct("i", "mask"))).alias("masks"))
-    else:
-        totals = rows.agg(F.lit(0).alias("masks"))
-
-    integer, double = F.lit(1), F.lit(2)
-    found = []
-    for i, f in enumerate(df.schema.fields):
-        native = _native(f.dataType)
-        if native:
-            kind, pattern = F.lit(native[0]), F.lit(native[1])
-        else:
-            mask = F.try_element_at("masks", F.lit(i))
-            kind = F.when(mask == integer, "integer")
-            kind = kind.when((mask == double) | (mask == 3), "double")
-            pattern = F.when(F.lit(False), F.lit(""))
-            for bit, (name, shape, _) in list(enumerate(SHAPES))[2:]:
-                kind = kind.when(mask == (1 << bit), name)
-                pattern = pattern.when(mask == (1 << bit), shape)
-            kind = kind.otherwise("string")
-        found.append(
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(i).alias("ordinal"),
-                kind.alias("data_type"),
-                pattern.cast("string").alias("date_format"),
-            )
-        )
-    return totals.select(F.inline(F.array(*found)))
+    shapes = rows.select(F.inline(F.array(*values))).groupBy("ordinal")
+    masks = shapes.agg(F.bit_or(_shape_bit(F.col("v"), blanks)).alias("mask"))
+    mask = F.col("mask")
+    kind = F.when(mask == 1, "integer").when((mask == 2) | (mask == 3), "double")
+    pattern = F.when(F.lit(False), F.lit(""))
+    for bit, (name, shape, _) in list(enumerate(SHAPES))[2:]:
+        kind = kind.when(mask == (1 << bit), name)
+        pattern = pattern.when(mask == (1 << bit), shape)
+    found = columns.join(F.broadcast(masks), "ordinal", "left")
+    return found.select(
+        "column_name",
+        "ordinal",
+        F.coalesce("data_type", kind.otherwise("string")).alias("data_type"),
+        F.coalesce("date_format", pattern).alias("date_format"),
+    )

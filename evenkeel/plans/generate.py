@@ -9,6 +9,7 @@ from ..mapping import ColumnMap, Mapping
 from ..operators.drift import column_catalog
 from ..operators.matching import CUTOFF, match_columns
 from ..operators.profile import infer_types
+from ..operators.small import small_frame
 
 OVERRIDES = "pair string, source_column string, target_column string"
 
@@ -32,7 +33,7 @@ def generate_mapping(
     wishes = None
     if overrides:
         rows = [("", s, t) for s, t in overrides.items()]
-        wishes = spark.createDataFrame(rows, OVERRIDES)
+        wishes = small_frame(spark, rows, OVERRIDES)
     matches = match_columns(catalog, wishes, cutoff=cutoff).drop("pair")
     types = infer_types(source, sample_rows=sample_rows).select(
         F.col("column_name").alias("source_column"), "data_type", "date_format"

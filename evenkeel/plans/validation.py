@@ -13,6 +13,7 @@ from ..operators import checks as C
 from ..operators import compare, drift
 from ..operators.classify import classify, slim
 from ..operators.layout import require_columns
+from ..operators.small import small_frame
 from ..sources.save import settle
 
 DRIFTS = {
@@ -98,7 +99,8 @@ class Validation:
                 else:
                     sides.append(df.schema[name].dataType.simpleString())
             rows.append(("", self.mapping.name(c), c.data_type, *sides))
-        types = self.source.sparkSession.createDataFrame(
+        types = small_frame(
+            self.source.sparkSession,
             rows,
             "pair string, column_name string, declared_data_type string, "
             "source_data_type string, target_data_type string",
