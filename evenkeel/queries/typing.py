@@ -9,7 +9,7 @@ from ..functions.lenient import split_list
 from ..functions.normalize import norm_numeric, norm_text, row_hash
 from ..functions.typed import is_blank
 from ..operators.layout import dates_as_text, with_norm, with_typed
-from .inputs import MAPPING, SOURCE, TARGET, run, sql_norm, sql_typed, table
+from .inputs import MAPPING, TARGET, run, sql_norm, sql_typed, table
 
 _C = F.col
 
