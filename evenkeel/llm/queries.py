@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, idfile, language
+from . import boilerplate, bpe, idfile, language, mixing, quality
 from .common import scratch, table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -31,8 +31,29 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfile.read_documents(spark, path)
 
 
+def mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return drawn.drop("text")
+
+
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).select(*quality.COLUMNS)
+
+
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = boilerplate.remove(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return found.select(
+        "doc_id", "n_lines", "n_removed", F.length(text).cast("long").alias("n_chars"),
+        F.sha2(text.cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 QUERIES = {
+    "op1_mixing_weights": (mixing_weights, mixing.oracle()),
+    "op5_quality_rules": (quality_rules, quality.oracle()),
     "op6_byte_level_bpe": (byte_level_bpe, None),
     "op7_language_id": (language_id, None),
     "op9_token_files": (token_files, None),
+    "op10_line_dedup": (line_dedup, boilerplate.oracle()),
 }
