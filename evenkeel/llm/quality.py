@@ -2,8 +2,8 @@
 
 A rule votes good (1), bad (-1) or abstains (0) on a text. Each rule has, for good and for bad texts, a
 probability to vote good when it votes at all; expectation-maximisation over the counts of vote patterns
-estimates these and the share of good texts, and a text is kept if the posterior probability that it is
-good reaches a threshold. A text that fails the two base rules is not kept whatever the votes.
+estimates these and the share of good texts, over texts that pass two base rules. A text is kept if the posterior probability that it is
+good reaches a threshold; one that fails the base is not kept whatever the votes.
 
 All features come from the whole text, by SQL functions alone. Every round of EM is one aggregation over
 the vote patterns, at most 3 to the power of the number of rules rows.
@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from .common import SPACE, cut, fresh, words
 
 ROUNDS = 12
-#: Where EM starts: the share of good texts, and how often a vote is right.
-PRIOR, RIGHT = 0.8, 0.9
+#: Where EM starts: the share of good texts, and how often a vote on a good and on a bad text is good.
+#: A good text has hardly a fault; a bad one has some, seldom all.
+PRIOR, GOOD_START, BAD_START = 0.8, 0.98, 0.5
 #: Pseudo-counts that keep the probabilities off 0 and 1.
 SMOOTH = 1.0
 SYMBOLS = "#*$%&|<>"
@@ -86,6 +87,7 @@ def features(docs: DataFrame) -> DataFrame:
         F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
         F.regexp_count("text", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
         (length - without("!?")).cast("long").alias("n_shouts"),
+        F.regexp_count("text", F.lit(rf"[^\p{{L}}{SPACE}]")).cast("long").alias("n_other"),
     )
 
 
@@ -93,6 +95,7 @@ def features(docs: DataFrame) -> DataFrame:
 #: ``high`` rules find much of it bad, ``low`` rules little. Between the two figures a rule abstains.
 RULES = (
     ("symbols", "high", "n_symbols", "word_chars", 3, 1),
+    ("other", "high", "n_other", "word_chars", 20, 10),
     ("repeats", "high", "n_repeat_words", "n_words", 30, 15),
     ("distinct", "low", "n_distinct", "n_words", 25, 50),
     ("capitals", "high", "n_upper", "word_chars", 30, 10),
@@ -135,7 +138,7 @@ def _posterior(names: list[str], state: dict[str, float]) -> Column:
 
 def estimate(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> dict[str, float]:
     """EM over (votes…, n): the share of good texts, and P(votes good | good / bad, votes) of each rule."""
-    state = {"prior": PRIOR} | {f"good_{n}": RIGHT for n in names} | {f"bad_{n}": 1 - RIGHT for n in names}
+    state = {"prior": PRIOR} | {f"good_{n}": GOOD_START for n in names} | {f"bad_{n}": BAD_START for n in names}
     n = F.col("n")
     for _ in range(rounds):
         g = F.col("g")
@@ -158,8 +161,8 @@ def judge(docs: DataFrame, *, least: float = 0.5, rounds: int = ROUNDS) -> DataF
     found = features(docs)
     found = found.select("*", *(F.expr(sql).alias(n) for n, sql in rules.items()), F.expr(BASE_FAILED).alias("base_failed"))
     found = cut(found)
-    # At most 3 ** 7 rows.
-    patterns = cut(found.groupBy(*rules).agg(F.count("*").cast("double").alias("n")).coalesce(1))
+    # At most 3 ** 8 rows. Texts that the base has judged teach nothing about the others.
+    patterns = cut(found.filter(~F.col("base_failed")).groupBy(*rules).agg(F.count("*").cast("double").alias("n")).coalesce(1))
     posterior = _posterior(list(rules), estimate(patterns, list(rules), rounds))
     return found.withColumn("p_good", posterior).withColumn(
         "kept", ~F.col("base_failed") & (F.col("p_good") >= least)
@@ -185,8 +188,8 @@ def oracle(least: float = 0.5, rounds: int = ROUNDS) -> str:
     posterior = f"(s.prior * {likelihood('good')}) / (s.prior * {likelihood('good')} + (1 - s.prior) * {likelihood('bad')})"
     start = ", ".join(
         [f"{PRIOR}::double prior"]
-        + [f"{RIGHT}::double good_{n}" for n in rules]
-        + [f"{1 - RIGHT}::double bad_{n}" for n in rules]
+        + [f"{GOOD_START}::double good_{n}" for n in rules]
+        + [f"{BAD_START}::double bad_{n}" for n in rules]
     )
     steps = [f"s0 as materialized (select {start})"]
     for k in range(rounds):
@@ -218,11 +221,12 @@ windows as (
     (len(l) - len(list_distinct(l)))::bigint n_dup_lines, coalesce(c.n, 0)::bigint n_repeat_words,
     len(l)::bigint n_lines, len(list_distinct(w))::bigint n_distinct,
     len(regexp_extract_all(text, '\p{{Lu}}'))::bigint n_upper,
-    (length(text) - length(translate(text, '!?', '')))::bigint n_shouts
+    (length(text) - length(translate(text, '!?', '')))::bigint n_shouts,
+    len(regexp_extract_all(text, '[^\p{{L}}{SPACE}]'))::bigint n_other
   from texts join lines using (doc_id) left join covered c using (doc_id)
 ), voted as (
   select *, {", ".join(f"{sql} {n}" for n, sql in rules.items())}, {BASE_FAILED} base_failed from features
-), patterns as materialized (select {", ".join(rules)}, count(*)::double n from voted group by all),
+), patterns as materialized (select {", ".join(rules)}, count(*)::double n from voted where not base_failed group by all),
 {chain}
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and {posterior} >= {least} kept
