@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boilerplate, bpe, idfile, language, mixing, quality, topk
+from . import boilerplate, bpe, idfile, language, maintext, mixing, quality, topk
 from .common import scratch, table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -53,9 +53,14 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_mixing_weights": (mixing_weights, mixing.oracle()),
     "op3_exact_top_k": (exact_top_k, topk.oracle()),
+    "op4_html_extraction": (html_extraction, None),
     "op5_quality_rules": (quality_rules, quality.oracle()),
     "op6_byte_level_bpe": (byte_level_bpe, None),
     "op7_language_id": (language_id, None),
