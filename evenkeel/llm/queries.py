@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boilerplate, bpe, idfile, language, maintext, mixing, quality, topk
+from . import boilerplate, bpe, idfile, language, maintext, mixing, nearcopies, quality, topk
 from .common import scratch, table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -57,8 +57,13 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintext.extract(table(spark, sf_dir, "pages"))
 
 
+def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearcopies.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing_weights": (mixing_weights, mixing.oracle()),
+    "op2_near_dedup": (near_dedup, None),
     "op3_exact_top_k": (exact_top_k, topk.oracle()),
     "op4_html_extraction": (html_extraction, None),
     "op5_quality_rules": (quality_rules, quality.oracle()),
