@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boilerplate, bpe, idfile, language, maintext, mixing, nearcopies, quality, topk
+from . import boilerplate, bpe, idfile, language, maintext, mixing, nearcopies, passages, quality, topk
 from .common import scratch, table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -61,6 +61,15 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.classes(table(spark, sf_dir, "documents"))
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.remove(table(spark, sf_dir, "documents"))
+    size = F.aggregate("runs", F.lit(0).cast("long"), lambda t, r: t + r["end"] - r["start"])
+    return found.select(
+        "doc_id", "n_bytes", size.alias("n_removed"), F.size("runs").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_mixing_weights": (mixing_weights, mixing.oracle()),
     "op2_near_dedup": (near_dedup, None),
@@ -69,6 +78,7 @@ QUERIES = {
     "op5_quality_rules": (quality_rules, quality.oracle()),
     "op6_byte_level_bpe": (byte_level_bpe, None),
     "op7_language_id": (language_id, None),
+    "op8_suffix_dedup": (suffix_dedup, None),
     "op9_token_files": (token_files, None),
     "op10_line_dedup": (line_dedup, boilerplate.oracle()),
 }
