@@ -154,28 +154,33 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "
     return kept.mapInArrow(run, f"`{id_col}` {kept.dtypes[0][1]}, bytes binary")
 
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode, decode the ids, digest both, in one pass."""
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, *, with_ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, and ids if asked): encode, decode the ids, digest both."""
     model = docs.sparkSession.sparkContext.broadcast(serialise(read_ranks(ranks_path)))
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model.value, pattern)
-        for batch in batches:
-            counts, ids_sha, bytes_sha = [], [], []
-            for text in batch.column(1):
-                ids = own.encode(text.as_py())
-                counts.append(len(ids))
-                joined = " ".join(map(own.decimal.__getitem__, ids))
-                ids_sha.append(hashlib.sha256(joined.encode()).hexdigest())
-                bytes_sha.append(hashlib.sha256(own.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()),
-                 pa.array(bytes_sha, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                counts, ids_sha, bytes_sha, all_ids = [], [], [], []
+                for text in batch.column(1):
+                    ids = own.encode(text.as_py())
+                    counts.append(len(ids))
+                    joined = " ".join(map(own.decimal.__getitem__, ids))
+                    ids_sha.append(hashlib.sha256(joined.encode()).hexdigest())
+                    bytes_sha.append(hashlib.sha256(own.decode(ids)).hexdigest())
+                    if with_ids:
+                        all_ids.append(ids)
+                columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha), pa.array(bytes_sha)]
+                if with_ids:
+                    columns.append(pa.array(all_ids, pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kept = docs.select("doc_id", "text")
     return kept.mapInArrow(
         run,
-        f"doc_id {kept.dtypes[0][1]}, n_tokens long, ids_sha256 string, decoded_sha256 string",
+        f"doc_id {kept.dtypes[0][1]}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        + ", ids array<int>" * with_ids,
     )
