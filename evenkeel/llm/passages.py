@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, scratch
+from .common import cut
 from .suffixes import mixed, repeats
 
 WIDTH, KMER = 100, 40
@@ -89,7 +89,10 @@ def contexts(text: bytes, width: int, k: int) -> tuple[np.ndarray, ...]:
 
 
 def _located(docs: DataFrame, width: int, k: int) -> DataFrame:
-    """(doc, s, n, key, ctx, loops, again): the contexts of all texts; ``again``: one of this task repeated."""
+    """(doc, s, n, key, ctx, mark): the contexts of all texts.
+
+    Marks: 1 may repeat itself, 2 repeats one of this task. The latter are settled and only pass through
+    the shuffle, each under a key of its own, so that no key gathers them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,29 +112,29 @@ def _located(docs: DataFrame, width: int, k: int) -> DataFrame:
             order = np.lexsort((s, doc, ctx))
             again = np.zeros(len(s), bool)
             again[order[1:]] = ctx[order[1:]] == ctx[order[:-1]]
+            own = mixed(mixed(doc.view(np.uint64)) + s.astype(np.uint64)).view(np.int64)
+            key, mark = np.where(again, own, key), np.where(again, 2, loops).astype(np.int8)
             for a in range(0, len(s), 200_000):
                 b = a + 200_000
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[a:b]) for x in (doc, s, n, key, ctx, loops, again)],
-                    names=["doc", "s", "n", "key", "ctx", "loops", "again"],
+                    [pa.array(x[a:b]) for x in (doc, s, n, key, ctx, mark)],
+                    names=["doc", "s", "n", "key", "ctx", "mark"],
                 )
 
-    schema = "doc long, s long, n long, key long, ctx long, loops boolean, again boolean"
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, "doc long, s long, n long, key long, ctx long, mark byte")
 
 
 def _compared(located: DataFrame) -> DataFrame:
     """(doc, s, n, key, first): repeats of an equal context, and first ones that may share a window.
 
     Those are contexts whose key has others too, and such as may repeat themselves."""
-    dealt = located.filter(~F.col("again")).drop("again").repartition("key")
-    dealt = dealt.sortWithinPartitions("key", "ctx", "doc", "s")
+    dealt = located.repartition("key").sortWithinPartitions("key", "ctx", "doc", "s")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Of the rows before, the last (key, ctx); and the first row of its key while nothing differs.
         last_key = last_ctx = alone = None
         for batch in batches:
-            doc, s, n, key, ctx, loops = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            doc, s, n, key, ctx, mark = (c.to_numpy() for c in batch.columns)
             if not len(key):
                 continue
             new_key = np.append(last_key is None or key[0] != last_key, key[1:] != key[:-1])
@@ -139,16 +142,17 @@ def _compared(located: DataFrame) -> DataFrame:
             firsts = np.flatnonzero(new_ctx)
             # A first row counts if a further first row of its key precedes or follows it.
             follows = np.append(~new_key[firsts[1:]], False)
-            counts = ~new_key[firsts] | follows | loops[firsts]
+            counts = ~new_key[firsts] | follows | (mark[firsts] == 1)
             out = np.zeros(len(key), np.int8)
             out[~new_ctx] = 1
             out[firsts[counts]] = 2
+            out[mark == 2] = 1
             if alone is not None and len(firsts) and not new_key[firsts[0]]:
                 yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (*alone, True)], names=names)
                 alone = None
             if len(firsts):
                 tail = firsts[-1]
-                if new_key[tail] and not loops[tail]:
+                if new_key[tail] and not mark[tail]:
                     alone = (int(doc[tail]), int(s[tail]), int(n[tail]), int(key[tail]))
                 else:
                     alone = None
@@ -159,9 +163,7 @@ def _compared(located: DataFrame) -> DataFrame:
             )
 
     names = ["doc", "s", "n", "key", "first"]
-    return dealt.select("doc", "s", "n", "key", "ctx", "loops").mapInArrow(
-        run, "doc long, s long, n long, key long, first boolean"
-    )
+    return dealt.mapInArrow(run, "doc long, s long, n long, key long, first boolean")
 
 
 def _fetched(firsts: DataFrame, docs: DataFrame) -> DataFrame:
@@ -225,10 +227,7 @@ def _one_by_one(found: DataFrame, width: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, *, width: int = WIDTH, k: int = KMER, gathered: int = GATHERED) -> DataFrame:
     """(doc, s, n): byte spans of the texts (doc, text) that start earlier; spans may overlap."""
-    located_at = scratch(docs.sparkSession, "contexts")
-    _located(docs, width, k).write.parquet(located_at)
-    located = docs.sparkSession.read.parquet(located_at)
-    compared = cut(_compared(located))
+    compared = cut(_compared(_located(docs, width, k)))
     firsts = compared.filter("first")
     crowded = firsts.groupBy("key").count().filter(F.col("count") > gathered).select("key", F.lit(True).alias("crowded"))
     total = firsts.agg(F.sum("n")).first()[0] or 0
@@ -243,8 +242,7 @@ def repeated_spans(docs: DataFrame, *, width: int = WIDTH, k: int = KMER, gather
     buckets = max(4 * partitions, total // BUCKET_BYTES)
     if any_crowded:
         found = cut(found)
-    spans = located.filter("again").select("doc", "s", "n")
-    spans = spans.unionByName(compared.filter("not first").select("doc", "s", "n"))
+    spans = compared.filter("not first").select("doc", "s", "n")
     spans = spans.unionByName(_by_suffix_array(found.filter("not crowded"), buckets, width))
     if any_crowded:
         spans = spans.unionByName(_one_by_one(found.filter("crowded"), width))
