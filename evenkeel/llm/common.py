@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def stored(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that keeps a frame as a table in the shared folder; the tables go with the context.
+
+    For loops: a checkpoint keeps the size its plan was estimated at, which joins multiply round by round,
+    while a table has the size of its files. What leaves the context must be cut from the tables."""
+    folder, steps = scratch(spark, "steps"), []
+
+    def keep(df: DataFrame) -> DataFrame:
+        steps.append(f"{folder}/{len(steps)}")
+        df.write.parquet(steps[-1])
+        return spark.read.schema(df.schema).parquet(steps[-1])
+
+    try:
+        yield keep
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like the given ones that the frame does not have yet."""
     taken = {c.lower() for c in df.columns}

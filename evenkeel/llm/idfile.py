@@ -26,14 +26,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 MAGIC = b"EKP1"
 #: Ids of a block; a chunk is closed at the end of the document that fills its blocks.
 BLOCK = 1 << 15
 CHUNK = 1 << 18
 #: Distinct words remembered by a Python worker.
-REMEMBERED = 700_000
+REMEMBERED = 500_000
 #: Separators for Python's split that the tokenizer does not count as white space.
 _ODD = "\x1c\x1d\x1e\x1f"
 
@@ -88,15 +88,57 @@ def unpack(value: bytes) -> np.ndarray:
     return np.concatenate(found)
 
 
+#: Characters up to here have neither compositions nor contextual lower case.
+_PLAIN = "\u0130"
+_MARKS = ".,;:!?"
+
+
 class Words:
     """A tokenizer that drops white space, with the ids of words it has seen.
 
     No rule of such a tokenizer looks across white space, so a text's ids are those of its words in turn.
+    A new word of plain letters, with or without a mark behind it, goes to the tokenizer's model in the
+    spelling its normalizer and byte level give; others, and all if a trial of that differs, go whole.
     """
 
     def __init__(self, text: str) -> None:
         self.tokenizer = Tokenizer.from_str(text)
         self.known: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [c for c in map(chr, range(ord(_PLAIN))) if c.isalpha()]
+        self.spelling = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in letters}
+        self.marks = {m: self._whole([m])[0] for m in _MARKS}
+        trial = [*letters, "".join(letters), "Though", "naïveté", *(f"Word{m}" for m in _MARKS)]
+        self.model = self.tokenizer.model if all(self._plain(w) == self._whole([w])[0] for w in trial) else None
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encoded]
+
+    def _plain(self, word: str) -> bytes | None:
+        """The ids of a word of plain letters and perhaps a mark, else None."""
+        mark = b""
+        if word[-1] in self.marks and len(word) > 1:
+            word, mark = word[:-1], self.marks[word[-1]]
+        if not word.isalpha() or max(word) >= _PLAIN:
+            return None
+        stem = word.lower()
+        found = self.stems.get(stem)
+        if found is None:
+            ids = [t.id for t in self.tokenizer.model.tokenize(stem.translate(self.spelling))]
+            found = self.stems[stem] = struct.pack(f"<{len(ids)}I", *ids)
+        return found + mark
+
+    def _learn(self, new: list[str]) -> None:
+        rest = new
+        if self.model is not None:
+            found = [(w, self._plain(w)) for w in new]
+            self.known.update((w, ids) for w, ids in found if ids is not None)
+            rest = [w for w, ids in found if ids is None]
+        for at in range(0, len(rest), 10_000):
+            part = rest[at : at + 10_000]
+            self.known.update(zip(part, self._whole(part), strict=True))
 
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
@@ -111,11 +153,9 @@ class Words:
             if len(known) + len(new) > REMEMBERED:
                 known.clear()
                 new = list(set(words))
-            for at in range(0, len(new), 10_000):
-                part = new[at : at + 10_000]
-                encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-                for word, e in zip(part, encoded, strict=True):
-                    known[word] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+            if len(self.stems) > REMEMBERED:
+                self.stems.clear()
+            self._learn(new)
         return np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
 
 

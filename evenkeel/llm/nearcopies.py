@@ -22,7 +22,7 @@ rows that share an id share what is found for any of them; an empty table gives
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +30,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, cut, quoted
-from .components import components
+from .common import SPACE, cut, quoted, stored
+from .components import labels as component_labels
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -189,13 +189,19 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
 def linked(sigs: DataFrame, docs: DataFrame, least: float) -> DataFrame | None:
     """(id, label): components of the verified links between texts that share a band."""
+    with stored(docs.sparkSession) as keep:
+        found = _rounds(sigs, docs, least, keep)
+        return None if found is None else cut(found)
+
+
+def _rounds(sigs: DataFrame, docs: DataFrame, least: float, keep: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
     keys = sigs.select(F.explode("keys").alias("key"), "id")
-    shared = cut(keys.groupBy("key").count().filter("count > 1").select("key"))
-    members = cut(keys.join(shared, "key"))
+    shared = keep(keys.groupBy("key").count().filter("count > 1").select("key"))
+    members = keep(keys.join(shared, "key"))
     if members.isEmpty():
         return None
-    compared = cut(members.select("id").distinct())
-    texts = cut(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(compared, "id", "left_semi"))
+    compared = keep(members.select("id").distinct())
+    texts = keep(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(compared, "id", "left_semi"))
     texts = texts.dropDuplicates(["id"])
     edges = labels = None
     slots, opened = 2, members.withColumn("label", F.col("id"))
@@ -203,18 +209,18 @@ def linked(sigs: DataFrame, docs: DataFrame, least: float) -> DataFrame | None:
         slot = F.pmod(F.xxhash64(F.lit(slots), "id"), F.lit(slots))
         centres = opened.groupBy("key", slot.alias("slot")).agg(F.min("id").alias("centre"))
         labelled = opened.select("key", F.col("id").alias("centre"), F.col("label").alias("of"))
-        centres = cut(centres.join(labelled, ["key", "centre"]).select("key", "centre", "of"))
+        centres = keep(centres.join(labelled, ["key", "centre"]).select("key", "centre", "of"))
         pairs = opened.join(centres, "key").filter("label != of")
         pairs = pairs.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
-        found = cut(verified(pairs, texts, least))
-        edges = found if edges is None else cut(edges.unionByName(found))
-        labels = components(edges)
+        found = keep(verified(pairs, texts, least))
+        edges = found if edges is None else keep(edges.unionByName(found))
+        labels = component_labels(edges, keep)
         rest = opened.drop("label").join(
             centres.select("key", F.col("centre").alias("id")), ["key", "id"], "left_anti"
         )
-        rest = cut(rest.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label")))
+        rest = keep(rest.join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label")))
         mixed = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
-        opened = cut(rest.join(cut(mixed.select("key")), "key"))
+        opened = keep(rest.join(keep(mixed.select("key")), "key"))
         if opened.isEmpty():
             return labels
         slots *= 4
