@@ -6,10 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .typed import as_numeric, text, typed
+from .typed import as_numeric, cast_fails, text, typed
 
 COMPLEX = (T.StructType, T.ArrayType, T.MapType)
 SEPARATOR = "||"
+#: Stands before the text of a key that does not fit its declared kind.
+UNFIT = "unfit:"
 
 
 def plain(raw: Column, dtype: T.DataType) -> Column:
@@ -39,6 +41,18 @@ def norm(
     return F.coalesce(value.cast("string"), F.lit(""))
 
 
+def norm_key(
+    raw: Column, kind: str, pattern: str | None = None, dtype: T.DataType | None = None
+) -> Column:
+    """Canonical text of a key. A value that does not fit its kind keeps its own text behind a tag,
+    so that different keys stay different; only NULL and blank are the empty string."""
+    if isinstance(dtype, COMPLEX):
+        return norm_text(raw, dtype)
+    return F.when(cast_fails(raw, kind, pattern, dtype), F.concat(F.lit(UNFIT), text(raw))).otherwise(
+        norm(raw, kind, pattern, dtype)
+    )
+
+
 def row_hash(*values: Column) -> Column:
     """SHA-256 of the joined values, NULL when there is none to join."""
     if not values:

@@ -68,7 +68,7 @@ def typed(
     if kind == "numeric":
         return raw.try_cast("decimal(38,10)") if isinstance(dtype, _NUMBER) else as_numeric(raw)
     if kind == "integer":
-        return raw.cast("bigint") if isinstance(dtype, _WHOLE) else as_integer(raw)
+        return raw.try_cast("bigint") if isinstance(dtype, _NUMBER) else as_integer(raw)
     if kind == "double":
         return raw.cast("double") if isinstance(dtype, _NUMBER) else as_double(raw)
     if kind == "boolean":

@@ -101,7 +101,10 @@ class Mapping:
             raise MappingError("a mapping needs at least one primary key")
         if not columns:
             raise MappingError("a mapping needs at least one column")
-        whole = {c.source: c for c in columns if c.source and c.target}
+        pairs = [c for c in columns if c.source and c.target]
+        whole = {c.source: c for c in pairs}
+        if len(whole) < len(pairs):
+            raise MappingError("a source column is mapped to several targets")
         if lost := [k for k in keys if k not in whole]:
             raise MappingError(f"primary keys are not among the mapped columns: {lost}")
         for c in whole.values():

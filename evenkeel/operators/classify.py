@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.normalize import differs, norm, plain
+from ..functions.normalize import differs, norm_key, plain
 from ..mapping import ColumnMap, Mapping
 
 
@@ -20,7 +20,7 @@ def key_exprs(
 ) -> list[Column]:
     """Normalized key texts. With ``null_keys="distinct"`` a key with a NULL meets no other side."""
     exprs = [
-        norm(F.col(f"`{c.on(side)}`"), c.kind, c.date_format, df.schema[c.on(side)].dataType)
+        norm_key(F.col(f"`{c.on(side)}`"), c.kind, c.date_format, df.schema[c.on(side)].dataType)
         .alias(f"_k{i}")
         for i, c in enumerate(mapping.keys)
     ]

@@ -103,14 +103,17 @@ def dates_as_text(df: DataFrame) -> DataFrame:
     return df.select(*[shown(f) for f in df.schema.fields])
 
 
-def flatten_nested(df: DataFrame, delimiter: str = "_", max_depth: int = 5) -> DataFrame:
+def flatten_nested(df: DataFrame, delimiter: str = "_", max_depth: int | None = None) -> DataFrame:
     """Struct fields as columns, arrays and maps as JSON text, in one projection.
 
-    What lies deeper than ``max_depth`` levels stays nested.
+    What lies deeper than ``max_depth`` levels, where that is given, stays nested.
     """
 
+    def opens(depth: int) -> bool:
+        return max_depth is None or depth < max_depth
+
     def leaves(value: Column, dtype: T.DataType, name: str, depth: int) -> list[Column]:
-        if depth < max_depth and isinstance(dtype, T.StructType):
+        if opens(depth) and isinstance(dtype, T.StructType):
             return [
                 leaf
                 for f in dtype.fields
@@ -118,7 +121,7 @@ def flatten_nested(df: DataFrame, delimiter: str = "_", max_depth: int = 5) -> D
                     value.getField(f.name), f.dataType, f"{name}{delimiter}{f.name}", depth + 1
                 )
             ]
-        if depth < max_depth and isinstance(dtype, (T.ArrayType, T.MapType)):
+        if opens(depth) and isinstance(dtype, (T.ArrayType, T.MapType)):
             value = F.to_json(value)
         names.append(name)
         return [value.alias(name)]

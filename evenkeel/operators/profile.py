@@ -57,17 +57,14 @@ def _native(dtype: T.DataType) -> tuple[str, str | None] | None:
     return "string", None
 
 
-def infer_types(
-    df: DataFrame, blanks: str = "ignore", sample_rows: int | None = None
-) -> DataFrame:
+def infer_types(df: DataFrame, blanks: str = "ignore") -> DataFrame:
     """column_name, ordinal, data_type, date_format of every column, from one pass over the rows.
 
     A column has a type when all its values look like it. ``blanks="string"`` makes a blank value
-    turn its column into text. ``sample_rows`` looks at that many rows only.
+    turn its column into text.
     """
     if blanks not in ("ignore", "string"):
         raise ValueError(f"blanks must be 'ignore' or 'string', not {blanks!r}")
-    rows = df.limit(sample_rows) if sample_rows else df
     values, known = [], []
     for i, f in enumerate(df.schema.fields):
         native = _native(f.dataType)
@@ -86,7 +83,7 @@ def infer_types(
         return columns
     # One shape expression over (column, value) rows; they are reduced to one mask per column
     # before the shuffle, and the masks are as many as there are columns.
-    shapes = rows.select(F.inline(F.array(*values))).groupBy("ordinal")
+    shapes = df.select(F.inline(F.array(*values))).groupBy("ordinal")
     masks = shapes.agg(F.bit_or(_shape_bit(F.col("v"), blanks)).alias("mask"))
     mask = F.col("mask")
     kind = F.when(mask == 1, "integer").when((mask == 2) | (mask == 3), "double")

@@ -221,15 +221,12 @@ def repair_summary(plan: DataFrame) -> DataFrame:
     return totals.withColumn("net_change", net)
 
 
-def repair_details(
-    plan: DataFrame, mapping: Mapping, action: str, limit: int = 1000
-) -> DataFrame:
-    """Keys of the first repaired rows in key order, for updates with the changed columns."""
+def repair_details(plan: DataFrame, mapping: Mapping, action: str) -> DataFrame:
+    """Keys of all repaired rows, for updates with the changed columns."""
     keys = [F.col(f"`{c.target}`").alias(mapping.name(c)) for c in mapping.keys]
     rows = plan.filter(F.col("_action") == action)
     columns = F.array_join("_changed", ",").alias("updated_columns")
-    rows = rows.select(*keys, columns) if action == "update" else rows.select(*keys)
-    return rows.orderBy(*rows.columns).limit(limit)
+    return rows.select(*keys, columns) if action == "update" else rows.select(*keys)
 
 
 def upsert_by_key(

@@ -20,7 +20,6 @@ def generate_mapping(
     overrides: dict[str, str] | None = None,
     *,
     cutoff: float = CUTOFF,
-    sample_rows: int | None = None,
 ) -> DataFrame:
     """source_column, target_column, match_type, data_type, date_format of all columns of both tables.
 
@@ -35,7 +34,7 @@ def generate_mapping(
         rows = [("", s, t) for s, t in overrides.items()]
         wishes = small_frame(spark, rows, OVERRIDES)
     matches = match_columns(catalog, wishes, cutoff=cutoff).drop("pair")
-    types = infer_types(source, sample_rows=sample_rows).select(
+    types = infer_types(source).select(
         F.col("column_name").alias("source_column"), "data_type", "date_format"
     )
     return matches.join(types, "source_column", "left").select(

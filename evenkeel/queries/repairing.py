@@ -136,16 +136,15 @@ QUERIES = {
     ),
     "recon_update_details": (
         _details("update"),
-        f"{ROWS} select t_ord_id order_id, {_CHANGED} updated_columns from r where {_ANY} "
-        "order by order_id, updated_columns limit 1000",
+        f"{ROWS} select t_ord_id order_id, {_CHANGED} updated_columns from r where {_ANY}",
     ),
     "recon_insert_details": (
         _details("insert"),
-        f"{ROWS} select s_order_id order_id from r where t_k is null order by order_id limit 1000",
+        f"{ROWS} select s_order_id order_id from r where t_k is null",
     ),
     "recon_delete_details": (
         _details("delete"),
-        f"{ROWS} select t_ord_id order_id from r where s_k is null order by order_id limit 1000",
+        f"{ROWS} select t_ord_id order_id from r where s_k is null",
     ),
     "revalidation_checks": (revalidation_checks, f"{_AGAIN} {CHECKS}"),
     "upsert_by_key": (

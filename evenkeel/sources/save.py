@@ -19,10 +19,12 @@ FORMATS = ("csv", "json", "parquet")
 def scratch(spark: SparkSession) -> str:
     """A new folder name below the shared folder of ``spark.checkpoint.dir``.
 
-    Only where that is unset, as in tests, a local temporary folder is made.
+    Only in a single JVM, as in tests, may it be unset: then a local temporary folder is made.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="evenkeel-")
     return f"{base.rstrip('/')}/evenkeel-{uuid.uuid4().hex}"
 
