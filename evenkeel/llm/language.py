@@ -41,15 +41,25 @@ _START = "▁"
 
 
 @lru_cache(maxsize=2)
-def _pieces(model: bytes) -> tuple[dict[str, int], int]:
-    """Ordinary pieces with their numbers, and the longest length."""
+def _pieces(model: bytes) -> dict[str, int]:
+    """Ordinary pieces with their numbers."""
     sp = sentencepiece.SentencePieceProcessor(model_proto=model)
     found = {}
     for i in range(sp.get_piece_size()):
         piece = sp.id_to_piece(i)
         if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)) and len(piece) <= SLICE:
             found[piece] = len(found)
-    return found, max(map(len, found))
+    return found
+
+
+@lru_cache(maxsize=2)
+def _starts(model: bytes) -> dict[str, int]:
+    return starts_of(_pieces(model))
+
+
+def starts_of(pieces: dict[str, int]) -> dict[str, int]:
+    """The pieces and all their beginnings; a beginning that is no piece itself has the number -1."""
+    return {p[:k]: -1 for p in pieces for k in range(1, len(p))} | pieces
 
 
 def words_of(text: str | None) -> list[str]:
@@ -57,19 +67,24 @@ def words_of(text: str | None) -> list[str]:
     return found if any(c.isalpha() for w in found for c in w) else []
 
 
-def _edges(slices: list[str], pieces: dict[str, int], longest: int) -> tuple[np.ndarray, ...]:
-    """All pieces in all slices: slice, start, end, piece. A character without a piece has the number after the last."""
+def _edges(slices: list[str], pieces: dict[str, int], unknown: int) -> tuple[np.ndarray, ...]:
+    """All pieces in all slices: slice, start, end, piece. A character that is no piece has the number ``unknown``."""
     own, starts, ends, ids = [], [], [], []
-    get, unknown = pieces.get, len(pieces)
+    get = pieces.get
     for k, s in enumerate(slices):
         n = len(s)
         for i in range(n):
-            for j in range(i + 1, min(n, i + longest) + 1):
+            for j in range(i + 1, n + 1):
                 p = get(s[i:j])
-                if p is None:
-                    if j > i + 1:
-                        continue
-                    p = unknown
+                if p is None or p < 0:
+                    if j == i + 1:
+                        own.append(k)
+                        starts.append(i)
+                        ends.append(j)
+                        ids.append(unknown)
+                    if p is None:
+                        break  # nothing longer starts like this
+                    continue
                 own.append(k)
                 starts.append(i)
                 ends.append(j)
@@ -90,7 +105,10 @@ def _forward(n: int, edges: tuple[np.ndarray, ...], probs: np.ndarray, back: boo
     for p in range(SLICE, -1, -1) if back else range(SLICE + 1):
         e = order[bounds[p] : bounds[p + 1]]
         if len(e):
-            np.add.at(total, (own[e], p), total[own[e], other[e]] * probs[ids[e]])
+            # Edges of a slice stand together, and all that end here are known.
+            o = own[e]
+            first = np.flatnonzero(np.append(True, o[1:] != o[:-1]))
+            total[o[first], p] = np.add.reduceat(total[o, other[e]] * probs[ids[e]], first, axis=0)
     return total
 
 
@@ -104,20 +122,20 @@ def _sliced(words: list[str]) -> tuple[list[str], np.ndarray]:
     return slices, np.array(owner, np.int64)
 
 
-def word_scores(words: list[str], pieces: dict[str, int], longest: int, probs: np.ndarray) -> np.ndarray:
-    """Log likelihood of each word in each language."""
+def word_scores(words: list[str], pieces: dict[str, int], probs: np.ndarray) -> np.ndarray:
+    """Log likelihood of each word in each language; ``pieces`` with their beginnings."""
     slices, owner = _sliced(words)
     total = np.zeros((len(words), probs.shape[1]))
     step = 4096
     for a in range(0, len(slices), step):
         part = slices[a : a + step]
-        sums = _forward(len(part), _edges(part, pieces, longest), probs)
+        sums = _forward(len(part), _edges(part, pieces, len(probs) - 1), probs)
         last = sums[np.arange(len(part)), [len(s) for s in part]]
         np.add.at(total, owner[a : a + step], np.log(last))
     return total
 
 
-def expected(counts: dict[str, np.ndarray], pieces: dict[str, int], longest: int, probs: np.ndarray) -> np.ndarray:
+def expected(counts: dict[str, np.ndarray], pieces: dict[str, int], probs: np.ndarray) -> np.ndarray:
     """Expected uses of each piece in each language over all segmentations of the counted words."""
     slices, owner = _sliced(list(counts))
     weights = np.array(list(counts.values()))[owner] if counts else np.zeros((0, probs.shape[1]))
@@ -125,7 +143,7 @@ def expected(counts: dict[str, np.ndarray], pieces: dict[str, int], longest: int
     step = 4096
     for a in range(0, len(slices), step):
         part = slices[a : a + step]
-        edges = _edges(part, pieces, longest)
+        edges = _edges(part, pieces, len(probs) - 1)
         own, starts, ends, ids = edges
         ahead, behind = _forward(len(part), edges, probs), _forward(len(part), edges, probs, back=True)
         whole = behind[:, 0]
@@ -144,7 +162,7 @@ class Model:
     known: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self.pieces, self.longest = _pieces(self.vocabulary)
+        self.pieces = _starts(self.vocabulary)
         self.scores = np.zeros((1024, len(self.langs)))
 
     def __reduce__(self):
@@ -161,7 +179,7 @@ class Model:
                 grown = np.zeros((2 * (at + len(new)), len(self.langs)))
                 grown[:at] = self.scores[:at]
                 self.scores = grown
-            self.scores[at : at + len(new)] = word_scores(new, self.pieces, self.longest, self.probs)
+            self.scores[at : at + len(new)] = word_scores(new, self.pieces, self.probs)
             self.known.update(zip(new, range(at, at + len(new)), strict=True))
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -186,7 +204,7 @@ def fit(docs: DataFrame, vocabulary_path: str, *, fit_docs: int = 1000, rounds:
     with open(vocabulary_path, "rb") as file:
         vocabulary = file.read()
     spark = docs.sparkSession
-    pieces, _ = _pieces(vocabulary)
+    pieces = _pieces(vocabulary)
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     # One row per language.
     sizes = {r[0]: r[1] for r in usable.groupBy("lang").count().collect()}
@@ -203,7 +221,7 @@ def fit(docs: DataFrame, vocabulary_path: str, *, fit_docs: int = 1000, rounds:
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
             vocabulary, langs, probs = shipped.value
-            pieces, longest = _pieces(vocabulary)
+            pieces = _starts(vocabulary)
             counted = {lang: Counter() for lang in langs}
             for batch in batches:
                 for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -212,7 +230,7 @@ def fit(docs: DataFrame, vocabulary_path: str, *, fit_docs: int = 1000, rounds:
             for k, lang in enumerate(langs):
                 for word, n in counted[lang].items():
                     counts.setdefault(word, np.zeros(len(langs)))[k] = n
-            found = expected(counts, pieces, longest, probs)
+            found = expected(counts, pieces, probs)
             at, k = found.nonzero()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(at, pa.int32()), pa.array(k, pa.int32()), pa.array(found[at, k])],
