@@ -116,12 +116,12 @@ def test_forward_sums_all_segmentations():
         return sum(probs[i, k] * brute(text[len(p):], k) for p, i in pieces.items() if text.startswith(p))
 
     words = ["ab", "a", "abab", "bb"]
-    scores = language.word_scores(words, pieces, 3, probs)
+    scores = language.word_scores(words, language.starts_of(pieces), probs)
     for w, row in zip(words, scores, strict=True):
         assert np.allclose(np.exp(row), [brute("▁" + w, 0), brute("▁" + w, 1)])
     # Expected uses times length add up to the characters covered.
     counts = {w: np.array([2.0, 1.0]) for w in words}
-    uses = language.expected(counts, pieces, 3, probs)
+    uses = language.expected(counts, language.starts_of(pieces), probs)
     lengths = np.array([len(p) for p in pieces] + [1])
     assert np.allclose((uses * lengths[:, None]).sum(0), [2 * sum(len(w) + 1 for w in words), sum(len(w) + 1 for w in words)])
 
