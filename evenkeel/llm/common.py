@@ -50,10 +50,12 @@ def stored(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     For loops: a checkpoint keeps the size its plan was estimated at, which joins multiply round by round,
     while a table has the size of its files. What leaves the context must be cut from the tables."""
     folder, steps = scratch(spark, "steps"), []
+    # As many files as keep all cores busy, not one per shuffle partition.
+    tasks = 4 * spark.sparkContext.defaultParallelism
 
     def keep(df: DataFrame) -> DataFrame:
         steps.append(f"{folder}/{len(steps)}")
-        df.write.parquet(steps[-1])
+        df.coalesce(tasks).write.parquet(steps[-1])
         return spark.read.schema(df.schema).parquet(steps[-1])
 
     try:
