@@ -50,8 +50,10 @@ def _native(dtype: T.DataType) -> tuple[str, str | None] | None:
         return "integer", None
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         return "double", None
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.DateType):
         return "date", "yyyy-MM-dd"
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return "timestamp", "yyyy-MM-dd HH:mm:ss"
     if isinstance(dtype, (T.StringType, T.DecimalType)):
         return None
     return "string", None

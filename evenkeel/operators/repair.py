@@ -17,14 +17,14 @@ from .classify import key_columns, key_exprs, keyed, survivors
 from .skew import HOT_ROWS, hot_hashes, is_hot, join_to_unique
 
 
-def _source_rows(source: DataFrame, mapping: Mapping) -> DataFrame:
-    rows = survivors(keyed(source, mapping, "source"), key_columns(mapping), "n_src", "src")
-    return rows.drop("n_src")
+def _source_rows(source: DataFrame, mapping: Mapping, null_keys: str = "equal") -> DataFrame:
+    rows = keyed(source, mapping, "source", null_keys=null_keys)
+    return survivors(rows, key_columns(mapping, null_keys), "n_src", "src").drop("n_src")
 
 
-def _target_rows(target: DataFrame, mapping: Mapping) -> DataFrame:
+def _target_rows(target: DataFrame, mapping: Mapping, null_keys: str = "equal") -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in target.columns])
-    return target.select(*key_exprs(target, mapping, "target"), row.alias("tgt"))
+    return target.select(*key_exprs(target, mapping, "target", null_keys), row.alias("tgt"))
 
 
 class _Row:
@@ -159,6 +159,7 @@ def plan_repair(
     mapping: Mapping,
     *,
     null_update: str = "keep",
+    null_keys: str = "equal",
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Every row of the repair in one pass: what happens to it and the columns of the target.
@@ -166,10 +167,13 @@ def plan_repair(
     ``_action`` is keep, update, insert or delete, ``_changed`` names the replaced columns, ``_stays``
     is false for deleted rows only and costs no comparison of values. Source rows are reduced to one per key and joined
     to all target rows by one full outer join; rows of very frequent target keys take a broadcast.
+    With ``null_keys="distinct"`` rows with a NULL in their key are no partners: those of the source are
+    inserted and those of the target deleted.
     """
-    keys = key_columns(mapping)
+    keys = key_columns(mapping, null_keys)
     row = _Row(source, target, mapping, null_update)
-    own, others = _source_rows(source, mapping), _target_rows(target, mapping)
+    own = _source_rows(source, mapping, null_keys)
+    others = _target_rows(target, mapping, null_keys)
     hot = hot_hashes(others, keys, hot_rows)
     if hot:
         mark = is_hot(keys, hot)
@@ -237,10 +241,13 @@ def upsert_by_key(
 ) -> DataFrame:
     """Rows of a keyed table after writing ``incoming`` into it; nothing is deleted.
 
-    Incoming rows replace existing ones of the same key; of several, the least row counts.
+    Incoming rows replace existing ones of the same key; of several, the least row counts. A NULL in a
+    key is a value like others.
     """
-    names = existing.columns
-    row = F.struct(*[F.col(f"`{c}`") for c in names])
-    new = incoming.groupBy(*keys).agg(F.min(row).alias("row"))
-    kept = join_to_unique(existing, new.select(*keys), keys, "left_anti", hot_rows)
-    return kept.select(*names).unionByName(new.select("row.*"))
+    names = [F.col(f"`{c}`") for c in existing.columns]
+    # Structs are equal where both have a NULL.
+    key = F.struct(*[F.col(f"`{c}`") for c in keys]).alias("key")
+    new = incoming.groupBy(key).agg(F.min(F.struct(*names)).alias("row"))
+    rows = existing.select(key, F.struct(*names).alias("row"))
+    kept = join_to_unique(rows, new.select("key"), ["key"], "left_anti", hot_rows)
+    return kept.select("row.*").unionByName(new.select("row.*"))

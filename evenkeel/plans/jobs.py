@@ -62,13 +62,18 @@ def reconcile_job(
     pipeline: str,
     run_id: str,
     null_update: str = "keep",
+    null_keys: str = "equal",
 ) -> str:
     """Repair a stored target into a new location in its own format and return that location."""
     fmt = detect_format(target)
     fmt = fmt if fmt in ("csv", "json", "parquet") else "parquet"
     plan = settle(
         repair.plan_repair(
-            load(spark, target), load(spark, source), mapping, null_update=null_update
+            load(spark, target),
+            load(spark, source),
+            mapping,
+            null_update=null_update,
+            null_keys=null_keys,
         )
     )
     base = f"{out.rstrip('/')}/run_id={run_id}"

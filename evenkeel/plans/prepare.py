@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.load import load
+from ..sources.save import settle
 
 # Accepted spellings of join types. Joins always carry a key condition, so that a
 # cross join with one is an inner join.
@@ -105,19 +106,27 @@ def join_tables(tables: Dict[str, DataFrame], steps: tuple[JoinStep, ...]) -> Da
     """Fold the steps; result columns are named ``table.column``.
 
     A full join is written as a left join plus the right rows without partner: adaptive skew
-    handling can split both of these, but no full outer join.
+    handling can split both of these, but no full outer join. What it uses twice is settled first if
+    it is a join itself. A key of the result is that of the right table in rows that have no left one.
     """
     first = steps[0].left
     joined, order = _qualified(tables[first], first), [first]
+    same: dict[str, list[str]] = {}
     for step in steps:
         right = _qualified(tables[step.right], step.right)
         left_name = _left_key(joined, step, order)
-        on = F.col(f"`{left_name}`") == F.col(f"`{step.right}.{step.right_key}`")
+        right_name = f"{step.right}.{step.right_key}"
+        used = [left_name, *(same.get(left_name, []) if step.left == RESULT else [])]
+        if step.how == "full" and len(order) > 1:
+            joined = settle(joined)
+        on = F.coalesce(*[F.col(f"`{n}`") for n in used]) == F.col(f"`{right_name}`")
         if step.how == "full":
-            alone = right.join(joined.select(f"`{left_name}`"), on, "left_anti")
+            alone = right.join(joined.select(*[f"`{n}`" for n in used]), on, "left_anti")
             joined = joined.join(right, on, "left").unionByName(alone, allowMissingColumns=True)
         else:
             joined = joined.join(right, on, step.how)
+        if step.how in ("full", "right"):
+            same.setdefault(left_name, []).append(right_name)
         order.append(step.right)
     return joined
 

@@ -31,6 +31,7 @@ def reconcile(
     mapping: Mapping,
     *,
     null_update: str = "keep",
+    null_keys: str = "equal",
     hot_rows: int | None = HOT_ROWS,
     settle_plan: bool = False,
     **options,
@@ -38,14 +39,19 @@ def reconcile(
     """Validate, repair and validate the repaired target; every frame is lazy.
 
     ``settle_plan`` writes the repair plan to the shared checkpoint folder first, so that the
-    repaired table and its reports are read back instead of being computed again for each.
+    repaired table and its reports are read back instead of being computed again for each. With
+    ``strict=False`` columns that one side lacks are neither compared nor repaired.
     """
-    plan = repair.plan_repair(target, source, mapping, null_update=null_update, hot_rows=hot_rows)
+    options["null_keys"] = null_keys
+    before = Validation(source, target, mapping, **options)
+    plan = repair.plan_repair(
+        target, source, before.compared, null_update=null_update, null_keys=null_keys, hot_rows=hot_rows
+    )
     if settle_plan:
         plan = settle(plan)
     repaired = repair.repaired(plan)
     return Reconciliation(
-        before=Validation(source, target, mapping, **options),
+        before=before,
         plan=plan,
         repaired=repaired,
         after=Validation(source, repaired, mapping, **options),

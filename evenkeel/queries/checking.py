@@ -80,7 +80,7 @@ def null_counts(spark, sf_dir):
 
 def null_counts_labels(spark, sf_dir):
     """NULLs that a left join leaves behind in a wide table."""
-    documents = table(spark, sf_dir, "documents").drop("text")
+    documents = table(spark, sf_dir, "documents")
     return C.null_counts(documents.join(table(spark, sf_dir, "labels"), "doc_id", "left"))
 
 
@@ -240,8 +240,8 @@ QUERIES = {
     "null_counts_labels": (
         null_counts_labels,
         _null_sql(
-            ["doc_id", "lang", "source", "n_chars", "quality", "toxic"],
-            "(select d.doc_id, lang, source, n_chars, quality, toxic from documents d "
+            ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"],
+            "(select d.doc_id, text, lang, source, n_chars, quality, toxic from documents d "
             "left join labels l on d.doc_id = l.doc_id) x",
         ),
     ),

@@ -56,9 +56,27 @@ def scan_json(spark, sf_dir):
     return _shown(L.read_declared(spark, path, _ORDERS, "source"))
 
 
+def scan_csv_text(spark, sf_dir):
+    """Texts with newlines and quotes survive being written and read."""
+    path = S.save(table(spark, sf_dir, "documents"), f"{S.scratch(spark)}.csv", "csv")
+    found = L.load(spark, path)
+    return found.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), "source"
+    )
+
+
+def scan_json_multiline(spark, sf_dir):
+    """The nations of each region as one document, an array over several lines."""
+    nation = F.struct("n_nationkey", "n_name", "n_regionkey")
+    nations = table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.collect_list(nation).alias("n"))
+    document = F.regexp_replace(F.to_json("n"), r"\},\{", "},\n{")
+    path = f"{S.scratch(spark)}.json"
+    nations.select(document.alias("value")).repartitionByRange(5, "value").write.text(path)
+    return L.load(spark, path).select("n_nationkey", "n_name", "n_regionkey")
+
+
 def scan_json_schema(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    path = S.save(events, S.scratch(spark), "json")
+    path = S.save(table(spark, sf_dir, "events"), S.scratch(spark), "json")
     schema = T.StructType(
         [T.StructField("value", T.DoubleType()), T.StructField("event_id", T.LongType())]
     )
@@ -125,7 +143,7 @@ def sink_csv_empty(spark, sf_dir):
 
 
 def sink_parquet(spark, sf_dir):
-    path = S.save(run(spark, sf_dir, TARGET), f"{S.scratch(spark)}.parquet", single=True)
+    path = S.save(run(spark, sf_dir, TARGET), f"{S.scratch(spark)}.parquet")
     return L.load(spark, path)
 
 
@@ -168,6 +186,8 @@ QUERIES = {
     "scan_csv_infer": (scan_csv_infer, _SHOWN),
     "scan_csv_declared": (scan_csv_declared, _SHOWN),
     "scan_json": (scan_json, _SHOWN),
+    "scan_csv_text": (scan_csv_text, "select doc_id, coalesce(text, '') as text, source from documents"),
+    "scan_json_multiline": (scan_json_multiline, "select n_nationkey, n_name, n_regionkey from nation"),
     "scan_json_schema": (scan_json_schema, "select value, event_id from events"),
     "scan_parquet": (scan_parquet, _SHOWN),
     "scan_parquet_merged": (

@@ -101,7 +101,7 @@ select cast(o_orderkey as string) id, cast(cast(o_totalprice as decimal(18,2)) a
             else cast(cast(o_orderdate as date) as string) end bad_day,
        case when o_orderkey % 2 = 0 then '7' else '7.5' end mixed,
        cast(null as string) nothing,
-       o_custkey native_whole, o_totalprice native_double
+       o_custkey native_whole, o_totalprice native_double, cast(o_orderdate as timestamp) native_time
 from orders
 """
 
@@ -217,6 +217,7 @@ def _inferred(ordinal: int, column: str) -> str:
 _INFERRED = " union all ".join(_inferred(i, c) for i, c in enumerate(_TEXTS)) + (
     f" union all select 'native_whole', {len(_TEXTS)}, 'integer', null"
     f" union all select 'native_double', {len(_TEXTS) + 1}, 'double', null"
+    f" union all select 'native_time', {len(_TEXTS) + 2}, 'timestamp', 'yyyy-MM-dd HH:mm:ss'"
 )
 
 QUERIES = {

@@ -52,6 +52,20 @@ def _join(step: JoinStep, columns: list[str]):
     return query
 
 
+_CHAIN = (
+    JoinStep("supplier", "customer", "s_suppkey", "c_custkey", "full"),
+    JoinStep("result", "part", "s_suppkey", "p_partkey", "full"),
+)
+
+
+def prep_join_full_chain(spark, sf_dir):
+    """Customers without a supplier of their number still find their part."""
+    tables = {t: table(spark, sf_dir, t) for t in ("supplier", "customer", "part")}
+    columns = ("supplier.s_suppkey", "customer.c_custkey", "part.p_partkey")
+    joined = join_tables(tables, _CHAIN)
+    return joined.select(*[F.col(f"`{c}`").alias(c.split(".")[1]) for c in columns])
+
+
 PLAN = JoinPlan.from_json(
     {
         "multi_source_workflow": {
@@ -138,6 +152,11 @@ _TARGET = (
 
 QUERIES = {
     **{f"prep_join_{n}": (_join(step, cols), sql) for n, (step, cols, sql) in _SELECTED.items()},
+    "prep_join_full_chain": (
+        prep_join_full_chain,
+        "select s_suppkey, c_custkey, p_partkey from supplier full join customer on "
+        "s_suppkey = c_custkey full join part on coalesce(s_suppkey, c_custkey) = p_partkey",
+    ),
     "prep_project": (prep_project, _SOURCE),
     "prep_target_project": (prep_target_project, _TARGET),
     "prep_full": (

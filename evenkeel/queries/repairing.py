@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import repair
 from ..plans.validation import Validation
 from ..sources.save import settle
 from .checking import CHECKS, _COUNTS
-from .inputs import MAPPING, PAIR, SOURCE_COLUMNS, TARGET_COLUMNS, pair, run, sql_differs
+from .inputs import MAPPING, PAIR, SOURCE, SOURCE_COLUMNS, TARGET_COLUMNS, pair, run, sql_differs
 
 
 def recon_update(spark, sf_dir):
@@ -38,6 +40,16 @@ def recon_apply(spark, sf_dir):
     return repair.repaired(_plan(spark, sf_dir))
 
 
+def recon_apply_null_keys(spark, sf_dir):
+    """Rows without an order number are no partners, though both sides have some."""
+    source, target = pair(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    source = source.withColumn("order_id", F.when(F.col("status") == "P", none).otherwise(F.col("order_id")))
+    target = target.withColumn("ord_id", F.when(F.col("status_cd") == "P", none).otherwise(F.col("ord_id")))
+    plan = repair.plan_repair(target, source, MAPPING, null_update="overwrite", null_keys="distinct")
+    return repair.repaired(plan).filter(F.col("ord_id").isNull())
+
+
 def recon_summary(spark, sf_dir):
     return repair.repair_summary(_plan(spark, sf_dir))
 
@@ -55,7 +67,7 @@ def revalidation_checks(spark, sf_dir):
 INCOMING = """
 select o_orderkey + case when l_linenumber > 5 then 1000000 else 0 end order_no,
        cast(cast(l_extendedprice as decimal(18,2)) as string) price, l_returnflag flag
-from orders join lineitem on l_orderkey = o_orderkey where l_linenumber > 3
+from orders join lineitem on l_orderkey = o_orderkey
 """
 EXISTING = """
 select o_orderkey order_no, cast(cast(o_totalprice as decimal(18,2)) as string) price,
@@ -134,6 +146,12 @@ QUERIES = {
         "total_column_updates, count(*) filter (where t_k is null) total_inserts, "
         "count(*) filter (where s_k is null) total_deletes, count(s_k) - count(t_k) net_change from r",
     ),
+    "recon_apply_null_keys": (
+        recon_apply_null_keys,
+        f"with src as ({SOURCE}), p as (select null::varchar order_id, * exclude (order_id) from src "
+        f"where status = 'P') select {', '.join(f'{c.source} {c.target}' for c in MAPPING.columns)} from p "
+        f"order by {', '.join(f'{c} nulls first' for c in SOURCE_COLUMNS)} limit 1",
+    ),
     "recon_update_details": (
         _details("update"),
         f"{ROWS} select t_ord_id order_id, {_CHANGED} updated_columns from r where {_ANY}",

@@ -34,15 +34,38 @@ def detect_format(ref: str) -> str:
     raise ValueError(f"cannot tell the format of {ref!r}")
 
 
-def read_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
-    """CSV with a header. Without ``infer`` all columns are text and no extra pass is made."""
-    return spark.read.option("header", True).option("inferSchema", infer).csv(path)
+def read_csv(
+    spark: SparkSession, path: str, infer: bool = False, multiline: bool = True
+) -> DataFrame:
+    """CSV with a header. Without ``infer`` all columns are text and no extra pass is made.
+
+    With ``multiline`` a quoted value may hold newlines, and a file is read by one task; without it
+    large files are split.
+    """
+    reader = spark.read.option("header", True).option("inferSchema", infer)
+    return reader.option("escape", '"').option("multiLine", multiline).csv(path)
+
+
+def _whole_documents(spark: SparkSession, path: str) -> bool:
+    """Whether the first line is less than an object: then a file is one document."""
+    line = F.trim("value")
+    first = spark.read.text(path).filter(line != "").limit(1)
+    whole = first.select((line.startswith("{") & line.endswith("}")).alias("line")).first()
+    return whole is not None and not whole.line
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    multiline: bool | None = None,
 ) -> DataFrame:
-    """JSON lines, or whole documents with ``multiline`` (one task per file)."""
+    """JSON lines, or whole documents with ``multiline`` (one task per file).
+
+    By default the first line tells which: an object is a line, anything else begins a document.
+    """
+    if multiline is None:
+        multiline = _whole_documents(spark, path)
     reader = spark.read.option("multiLine", multiline)
     return (reader.schema(schema) if schema else reader).json(path)
 

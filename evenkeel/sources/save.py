@@ -48,7 +48,7 @@ def save(
     writer = (df.coalesce(1) if single else df).write.mode(mode)
     if fmt == "csv":
         writer = writer.option("header", True).option("nullValue", "").option("emptyValue", "")
-        writer = writer.option("ignoreLeadingWhiteSpace", False)
+        writer = writer.option("escape", '"').option("ignoreLeadingWhiteSpace", False)
         writer = writer.option("ignoreTrailingWhiteSpace", False)
     elif fmt == "json":
         writer = writer.option("ignoreNullFields", False)
@@ -92,5 +92,5 @@ def backup(spark: SparkSession, path: str, to: str, fmt: str = "parquet") -> str
     """Copy a stored table before it is overwritten."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("escape", '"').option("multiLine", True)
     return save(reader.load(path), to, fmt)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from evenkeel import ColumnMap, Mapping
 from evenkeel.operators import checks, compare, repair
 from evenkeel.operators.classify import classify, paired
+from evenkeel.plans.reconcile import reconcile
 from evenkeel.plans.validation import Validation
 
 MAPPING = Mapping.of(
@@ -190,6 +191,20 @@ def test_upsert(spark):
     for hot_rows in (None, 1):
         done = repair.upsert_by_key(old, new, ["k"], hot_rows)
         assert values(done) == [(1, "a"), (2, "c"), (3, "d")]
+    old = spark.sql("select * from values (1, 'a'), (null, 'b') t(k, v)")
+    new = spark.sql("select * from values (cast(null as int), 'c') t(k, v)")
+    assert values(repair.upsert_by_key(old, new, ["k"])) == [(None, "c"), (1, "a")]
+
+
+def test_options_reach_the_repair(text):
+    source = text("id amount day name", [(None, "1", None, "a"), ("1", "1", None, "b")])
+    target = text("no amt dt nm", [(None, "2", None, "z"), ("1", "3", None, "b")])
+    done = reconcile(source, target, MAPPING, null_keys="distinct")
+    actions = {(r._action, r.amt) for r in done.plan.collect()}
+    assert actions == {("insert", "1"), ("delete", "2"), ("update", "1")}
+    done = reconcile(source, target.drop("dt"), MAPPING, strict=False)
+    assert values(done.repaired) == [(None, "1", "a"), ("1", "1", "b")]
+    assert done.after.extra_in_source.count() == 0
 
 
 def test_missing_columns_are_refused(text):

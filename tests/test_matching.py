@@ -167,8 +167,8 @@ def test_infer_types(spark):
     blank = spark.sql("select * from values ('1'), ('') t(v)")
     assert infer_types(blank).first().data_type == "integer"
     assert infer_types(blank, blanks="string").first().data_type == "string"
-    native = spark.sql("select 1 i, 1.5d d, true b, date'2020-01-01' t, array(1) a")
+    native = spark.sql("select 1 i, 1.5d d, true b, date'2020-01-01' t, array(1) a, now() ts")
     assert [r.data_type for r in infer_types(native).collect()] == [
-        "integer", "double", "boolean", "date", "string",
+        "integer", "double", "boolean", "date", "string", "timestamp",
     ]
     assert values(infer_types(native))[0] == ("a", 4, "string", None)

@@ -29,6 +29,19 @@ def test_declared_reads_find_columns_by_name(spark, tmp_path):
     assert values(found.select("id", "name")) == [(7, None), (8, "b")]
 
 
+def test_json_documents_and_lines(spark, tmp_path):
+    (tmp_path / "t.json").write_text(json.dumps([{"a": 1}, {"a": 2}], indent=1))
+    assert values(L.load(spark, str(tmp_path / "t.json"))) == [(1,), (2,)]
+    (tmp_path / "l.json").write_text('\n{"a": 1}\n{"a": 2}\n')
+    assert values(L.load(spark, str(tmp_path / "l.json"))) == [(1,), (2,)]
+
+
+def test_csv_texts_come_back(spark, tmp_path):
+    rows = [(1, 'a "b"\nc,d'), (2, "\\"), (3, 'x\\"'), (4, '"'), (5, "\n\n"), (6, " a\r\nb ")]
+    path = S.save(spark.createDataFrame(rows, "id int, t string"), str(tmp_path / "t.csv"), "csv")
+    assert values(L.load(spark, path)) == [(str(i), t) for i, t in rows]
+
+
 def test_formats():
     assert L.detect_format("/a/b.CSV") == "csv"
     assert L.detect_format("table:db.t") == "table"
@@ -130,6 +143,19 @@ def test_join_types(tables, how, wanted):
     assert values(found) == wanted
 
 
+def test_right_only_rows_keep_the_key_of_the_result(spark):
+    tables = {
+        n: spark.sql(f"select * from values {v} t(id)")
+        for n, v in (("a", "(1), (2)"), ("b", "(2), (3)"), ("c", "(3), (4)"))
+    }
+    for how, wanted in (
+        ("full", [(None, None, 4), (None, 3, 3), (1, None, None), (2, 2, None)]),
+        ("right", [(None, None, 4), (None, 3, 3)]),
+    ):
+        steps = (JoinStep("a", "b", "id", "id", how), JoinStep("result", "c", "id", "id", how))
+        assert values(join_tables(tables, steps)) == wanted
+
+
 def test_semi_anti_and_bad_joins(tables):
     for how, wanted in (("left_semi", [(1,)]), ("anti", [(2,), (3,)])):
         step = JoinStep("orders", "customers", "customer_id", "id", how)
