@@ -148,7 +148,7 @@ def promising(x: Column, y: Column, least: float, size: int) -> Column:
     """Whether the register bits of two texts agree as often as those of texts similar enough do.
 
     Bits agree with probability (1 + similarity) / 2. The bound lies 5.5 standard deviations below the mean at
-    the least similarity: of 252 registers it loses one in two million of such pairs, which is nothing beside what
+    the least similarity: of 252 registers it loses about 4 in 10 million such pairs, which is nothing beside what
     the bands lose, while texts that merely share a passage seldom pass."""
     p = (1 + least) / 2
     bound = math.floor(size * (1 - p) + _DEVIATIONS * math.sqrt(size * p * (1 - p)))
