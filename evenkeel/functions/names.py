@@ -24,7 +24,7 @@ def levenshtein_ratio(a: Column, b: Column) -> Column:
 
 @F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp ratio, which no built-in function computes."""
+    """Ratcliff-Obershelp ratio, which no built-in function computes; long names by the same rule as short ones."""
     return pd.Series(
-        [SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64"
+        [SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b)], dtype="float64"
     )

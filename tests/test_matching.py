@@ -26,7 +26,7 @@ def distance(a, b):
 
 
 SCORES = {
-    "sequence": lambda a, b: SequenceMatcher(None, a, b).ratio(),
+    "sequence": lambda a, b: SequenceMatcher(None, a, b, autojunk=False).ratio(),
     "levenshtein": lambda a, b: 1.0 if not a and not b else 1 - distance(a, b) / max(len(a), len(b)),
 }
 
