@@ -7,6 +7,9 @@ from difflib import SequenceMatcher
 import pytest
 from conftest import values
 
+from pyspark.sql import functions as F
+
+from evenkeel.functions.names import sequence_ratio
 from evenkeel.operators.drift import CATALOG
 from evenkeel.operators.matching import backfill, keyed_names, match_columns, similar_keys
 from evenkeel.operators.profile import infer_types
@@ -172,3 +175,9 @@ def test_infer_types(spark):
         "integer", "double", "boolean", "date", "string", "timestamp",
     ]
     assert values(infer_types(native))[0] == ("a", 4, "string", None)
+
+
+def test_long_names_score_like_short_ones(spark):
+    row = spark.createDataFrame([("ab" * 150, "ba" * 150)], "a string, b string")
+    score = row.select(sequence_ratio(F.col("a"), F.col("b"))).first()[0]
+    assert score == pytest.approx(2 * 299 / 600)
