@@ -188,3 +188,21 @@ def test_shared_lines(spark):
     assert boilerplate.clean(docs.limit(0)).count() == 0
     again = docs.unionByName(docs.filter("doc_id = 60"))
     assert boilerplate.remove(again).count() == again.count()
+
+
+def test_elements_keep_weighted_similarity():
+    a, b = np.array([7, 7, 7, 5, 9], np.uint64), np.array([7, 7, 5, 5, 8], np.uint64)
+    # Lesser weights 2 + 1, greater ones 3 + 2 + 1 + 1.
+    assert nearcopies.similarity(nearcopies.elements(a), nearcopies.elements(b)) == 3 / 7
+    none = np.empty(0, np.uint64)
+    assert nearcopies.similarity(nearcopies.elements(none), nearcopies.elements(none)) == 0.0
+
+
+def test_register_bits_agree_with_the_registers():
+    rng = np.random.default_rng(3)
+    one = rng.random((1, 252))
+    other = np.where(rng.random((1, 252)) < 0.5, one, rng.random((1, 252)))
+    x, y = nearcopies.register_bits(one)[0], nearcopies.register_bits(other)[0]
+    unlike = sum(bin(int(i) & (2**64 - 1)).count("1") for i in x ^ y)
+    assert len(x) == 4 and unlike <= int((one != other).sum())
+    assert (nearcopies.register_bits(one) == nearcopies.register_bits(one.copy())).all()
