@@ -112,7 +112,8 @@ def bag_min_hash(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n_doc
         number = np.arange(done, done + points, dtype=np.uint64)
         draw = _mixed(seed[:, None] + _ODD * (number[None, :] + np.uint64(1)))
         gap = -np.log(((draw >> np.uint64(11)).astype(float) + 1.0) / 2.0**53) / length[:, None]
-        times = time[:, None] + np.cumsum(gap, 1)
+        # One addition after the other from the start, so that the bits do not depend on how many points a batch takes.
+        times = np.cumsum(np.concatenate([time[:, None], gap], 1), 1)[:, 1:]
         draw = _mixed(draw + np.uint64(1))
         register = (draw % np.uint64(size)).astype(np.int64)
         # The unit of weight the point falls on, its bits halving the step from the top.

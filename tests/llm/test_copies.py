@@ -206,3 +206,17 @@ def test_register_bits_agree_with_the_registers():
     unlike = sum(bin(int(i) & (2**64 - 1)).count("1") for i in x ^ y)
     assert len(x) == 4 and unlike <= int((one != other).sum())
     assert (nearcopies.register_bits(one) == nearcopies.register_bits(one.copy())).all()
+
+
+def test_registers_do_not_depend_on_the_batch():
+    r = np.random.default_rng(7)
+    sizes = np.array([1, 2, 3, 5, 9, 30, 120, 800, *r.integers(1, 4000, 120)])
+    assert sizes.sum() > 200_000
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    shingle = r.integers(0, 2**63, len(doc)).astype(np.uint64)
+    weight = np.where(r.random(len(doc)) < 0.1, r.integers(2, 40, len(doc)), 1)
+    together = nearcopies.bag_min_hash(doc, shingle, weight, len(sizes), 252)
+    for d in range(30):
+        one = doc == d
+        alone = nearcopies.bag_min_hash(doc[one] - d, shingle[one], weight[one], 1, 252)
+        assert (alone.view(np.uint64) == together[d : d + 1].view(np.uint64)).all()
