@@ -17,7 +17,8 @@ have been compared, whatever the bucket's size, and a bucket of like texts takes
 Texts that are equal are one class before all that. Defined results: a text of one to four words is one
 shingle; NULL texts and texts without a word have none (the latter are classed by equality, the former
 are alone); a NULL id names no class, such rows get the class of an equal text that has an id, else NULL;
-rows that share an id share what is found for any of them; an empty table gives an empty table.
+a text is known by its id and its content, so different texts under one id are texts of their own, and only rows
+of equal id and text are one; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -159,13 +160,16 @@ def promising(x: Column, y: Column, least: float, size: int) -> Column:
     return unlike <= bound
 
 
+def text_key(docs: DataFrame) -> Column:
+    """What equal texts share; NULL texts have one for each id."""
+    alone = F.concat_ws(":", F.lit("null"), docs["doc_id"].cast("string"))
+    return F.coalesce(F.md5(docs["text"]), alone)
+
+
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id, text_key, keys, windows, bits): the band keys of every text, texts without a word have none, and the size
     of its bag and one bit of every register, packed into longs."""
-    alone = F.concat_ws(":", F.lit("null"), F.col("doc_id").cast("string"))
-    kept = docs.select(
-        F.col("doc_id").cast("long").alias("id"), F.coalesce(F.md5("text"), alone).alias("text_key"), "text"
-    )
+    kept = docs.select(F.col("doc_id").cast("long").alias("id"), text_key(docs).alias("text_key"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
@@ -237,7 +241,9 @@ def verified(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
 
 
 def linked(sigs: DataFrame, docs: DataFrame, least: float, registers: int) -> DataFrame | None:
-    """(id, label): components of the verified links between texts that share a band."""
+    """(id, label): components of the verified links between texts that share a band.
+
+    Ids are those of the signatures, one for each text, and belong to the rows of its (doc_id, text_key)."""
     with stored(docs.sparkSession) as keep:
         found = _rounds(sigs, docs, least, registers, keep)
         return None if found is None else cut(found)
@@ -252,8 +258,9 @@ def _rounds(
     if members.isEmpty():
         return None
     compared = keep(members.select("id").distinct())
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(compared, "id", "left_semi")
-    bags = keep(bagged(texts.dropDuplicates(["id"])))
+    names = sigs.select("id", "doc_id", "text_key").join(compared, "id", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(docs).alias("text_key"), "text")
+    bags = keep(bagged(texts.join(names, ["doc_id", "text_key"]).select("id", "text").dropDuplicates(["id"])))
     labels, tried = compared.withColumn("label", F.col("id")), None
     slots, opened = 2, members.withColumn("label", F.col("id"))
     while True:
@@ -294,24 +301,44 @@ def _joined(labels: DataFrame, links: DataFrame, keep: Callable[[DataFrame], Dat
     return keep(labels.join(step, "label", "left").select("id", F.coalesce("to", "label").alias("label")))
 
 
-def classes(docs: DataFrame, *, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, class_id): the least id of the near copies of each document, one row per document."""
+def _leaders(docs: DataFrame, least: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """(id, text_key) of every row, and of every text_key with an id the (text_key, class_id, class_key) of its class:
+    the least id of the class and, of its texts of that id, the least text_key."""
     sigs = cut(signed(docs, bands, rows))
     firsts = cut(sigs.groupBy("text_key").agg(F.min("id").alias("id")).filter(F.col("id").isNotNull()))
-    apart = cut(sigs.join(firsts, ["text_key", "id"], "left_semi").filter(F.size("keys") > 0).select("id", "keys", "windows", "bits"))
+    apart = sigs.join(firsts, ["text_key", "id"], "left_semi").filter(F.size("keys") > 0).dropDuplicates(["text_key"])
+    # Numbers stand for the texts, as an id may have several; they hold once the rows are written.
+    apart = cut(apart.select(
+        F.monotonically_increasing_id().alias("id"), F.col("id").alias("doc_id"), "text_key", "keys", "windows", "bits"
+    ))
     labels = linked(apart, docs, least, bands * rows)
     if labels is None:
-        named = firsts.withColumn("class_id", F.col("id"))
+        named = firsts.select("text_key", F.col("id").alias("class_id"), F.col("text_key").alias("class_key"))
     else:
-        named = firsts.join(labels, "id", "left").withColumn("class_id", F.coalesce("label", "id"))
-    named = cut(named.select("text_key", "class_id"))
-    return sigs.select(F.col("id").alias("doc_id"), "text_key").join(named, "text_key", "left").select("doc_id", "class_id")
+        found = cut(apart.select("id", "doc_id", "text_key").join(labels, "id"))
+        first = found.groupBy("label").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+        found = found.join(first, "label").select("text_key", "first")
+        named = firsts.join(found, "text_key", "left").select(
+            "text_key", F.coalesce("first.doc_id", "id").alias("class_id"),
+            F.coalesce("first.text_key", "text_key").alias("class_key"),
+        )
+    return sigs.select("id", "text_key"), cut(named)
+
+
+def classes(docs: DataFrame, *, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(doc_id, class_id): the least id of the near copies of each document, one row per document."""
+    texts, named = _leaders(docs, least, bands, rows)
+    return texts.join(named, "text_key", "left").select(F.col("id").alias("doc_id"), "class_id")
 
 
-def keep_one(docs: DataFrame, **settings) -> DataFrame:
+def keep_one(docs: DataFrame, *, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """The documents without near copies: of each class the one of least id stays. Rows without an id stay."""
-    found = classes(docs, **settings)
-    first = found.filter("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    _, named = _leaders(docs, least, bands, rows)
+    first = named.filter("text_key = class_key").select(F.col("class_id").alias("id"), "text_key")
+    whole = docs.select(
+        F.col("doc_id").cast("long").alias("id"), text_key(docs).alias("text_key"),
+        F.struct(*quoted(docs.columns)).alias("row"),
+    )
+    kept = whole.join(first, ["id", "text_key"], "left_semi").dropDuplicates(["id", "text_key"])
     nameless = docs.filter(F.col("doc_id").isNull())
-    return kept.select(*quoted(docs.columns)).unionByName(nameless.select(*quoted(docs.columns)))
+    return kept.select("row.*").unionByName(nameless.select(*quoted(docs.columns)))

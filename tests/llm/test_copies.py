@@ -220,3 +220,17 @@ def test_registers_do_not_depend_on_the_batch():
         one = doc == d
         alone = nearcopies.bag_min_hash(doc[one] - d, shingle[one], weight[one], 1, 252)
         assert (alone.view(np.uint64) == together[d : d + 1].view(np.uint64)).all()
+
+
+def test_different_texts_of_one_id_are_texts_of_their_own(spark):
+    r = random.Random(11)
+    one, other, third = (prose(r, 90) for _ in range(3))
+    near = lambda text: text.replace(text.split()[0], "edited", 1)
+    rows = [(1, one), (1, other), (1, other), (2, near(other)), (3, near(one)), (4, third), (4, None), (5, third), (6, third + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = sorted((x.doc_id, x.class_id) for x in nearcopies.classes(docs).collect())
+    assert found == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (5, 4), (6, 4)]
+    kept = sorted(((x.doc_id, x.text) for x in nearcopies.keep_one(docs).collect()), key=str)
+    assert kept == sorted([(1, one), (1, other), (4, third), (4, None)], key=str)
+    twins = spark.createDataFrame([(7, one), (7, near(one))], "doc_id long, text string")
+    assert nearcopies.keep_one(twins).count() == 1
