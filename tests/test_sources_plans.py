@@ -36,6 +36,30 @@ def test_json_documents_and_lines(spark, tmp_path):
     assert values(L.load(spark, str(tmp_path / "l.json"))) == [(1,), (2,)]
 
 
+def test_json_mode_of_every_file(spark, tmp_path):
+    folder = tmp_path / "both.json"
+    folder.mkdir()
+    (folder / "a 1%.json").write_text(json.dumps([{"a": 1, "b": {"c": 1}}, {"a": 2}], indent=1))
+    (folder / "b[x].json").write_text('\n{"a": 3}\n{"a": 4.5, "b": {"d": "x"}}\n{"a": 5}\n')
+    (folder / "c.json").write_text('[{"a": 6}, {"a": 7}]\n')
+    (folder / "d.json").write_text("{\n\"a\": 8\n}\n")
+    (folder / "e.json").write_text("")
+    (folder / "f.json").write_text('\ufeff{"a": 9}\n{"a": 10}\n', encoding="utf-8")
+    found = L.load(spark, str(folder))
+    assert sorted(r.a for r in found.collect()) == [1, 2, 3, 4.5, 5, 6, 7, 8, 9, 10]
+    assert sorted((r.a, r.b.c, r.b.d) for r in found.filter("b is not null").collect()) == [(1, 1, None), (4.5, None, "x")]
+    assert "_corrupt_record" not in found.columns
+
+
+@pytest.mark.parametrize("first", ['{"a": 1, "b', '"a": 1}', '{"a": {"b": 1}'])
+def test_json_of_unclear_mode_is_an_error(spark, tmp_path, first):
+    path = tmp_path / "t.json"
+    path.write_text(first + '\n{"a": 2}\n{"a": 3}\n', encoding="utf-8")
+    with pytest.raises(ValueError, match="multiline"):
+        L.load(spark, str(path))
+    assert L.load(spark, str(path), multiline=False).count() == 3
+
+
 def test_csv_texts_come_back(spark, tmp_path):
     rows = [(1, 'a "b"\nc,d'), (2, "\\"), (3, 'x\\"'), (4, '"'), (5, "\n\n"), (6, " a\r\nb ")]
     path = S.save(spark.createDataFrame(rows, "id int, t string"), str(tmp_path / "t.csv"), "csv")
