@@ -44,18 +44,18 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def stored(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+def stored(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
     """A function that keeps a frame as a table in the shared folder; the tables go with the context.
 
     For loops: a checkpoint keeps the size its plan was estimated at, which joins multiply round by round,
     while a table has the size of its files. What leaves the context must be cut from the tables."""
     folder, steps = scratch(spark, "steps"), []
-    # As many files as keep all cores busy, not one per shuffle partition.
+    # As many files as keep all cores busy, not one per shuffle partition; few=False keeps the frame's partitions.
     tasks = 4 * spark.sparkContext.defaultParallelism
 
-    def keep(df: DataFrame) -> DataFrame:
+    def keep(df: DataFrame, *, few: bool = True) -> DataFrame:
         steps.append(f"{folder}/{len(steps)}")
-        df.coalesce(tasks).write.parquet(steps[-1])
+        (df.coalesce(tasks) if few else df).write.parquet(steps[-1])
         return spark.read.schema(df.schema).parquet(steps[-1])
 
     try:

@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import boilerplate, bpe, idfile, language, maintext, mixing, nearcopies, passages, quality, topk
+from . import (
+    alignment, boilerplate, bpe, idfile, language, maintext, mixing, nearcopies, passages, quality, ranked, topk, wordbpe,
+)
 from .common import scratch, table
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -70,6 +72,19 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordbpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path(VOCABULARY))
+
+
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_mixing_weights": (mixing_weights, mixing.oracle()),
     "op2_near_dedup": (near_dedup, None),
@@ -81,4 +96,7 @@ QUERIES = {
     "op8_suffix_dedup": (suffix_dedup, None),
     "op9_token_files": (token_files, None),
     "op10_line_dedup": (line_dedup, boilerplate.oracle()),
+    "op11_backtracking_bpe": (backtracking_bpe, None),
+    "op12_token_alignment": (token_alignment, None),
+    "op13_ranked_search": (ranked_search, ranked.oracle()),
 }
