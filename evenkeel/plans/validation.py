@@ -12,6 +12,7 @@ from ..mapping import Mapping
 from ..operators import checks as C
 from ..operators import compare, drift
 from ..operators.classify import classify, slim
+from ..operators.digest import classify_by_digest
 from ..operators.layout import require_columns
 from ..operators.small import small_frame
 from ..sources.save import settle
@@ -30,7 +31,8 @@ class Validation:
     ``settled`` it is written to the shared checkpoint folder instead of being cached, which spares
     a recomputation when executors are lost.
     ``drift_rule`` is exact, family or typed. ``partition_by`` (source column, target column) adds
-    an informational count of business partitions whose row numbers differ.
+    an informational count of business partitions whose row numbers differ. ``digest_levels`` compares
+    digests first, so that only rows of differing buckets are exchanged with their values.
     """
 
     def __init__(
@@ -44,10 +46,11 @@ class Validation:
         strict: bool = True,
         partition_by: tuple[str, str] | None = None,
         settled: bool = False,
+        digest_levels: tuple[int, ...] | None = None,
     ):
         self.source, self.target, self.mapping = source, target, mapping
         self.null_keys, self.drift_rule, self.partition_by = null_keys, drift_rule, partition_by
-        self.settled = settled
+        self.settled, self.digest_levels = settled, digest_levels
         self.missing = {
             "source": require_columns(source, mapping, "source", strict),
             "target": require_columns(target, mapping, "target", strict),
@@ -64,6 +67,10 @@ class Validation:
 
     @cached_property
     def classified(self) -> DataFrame:
+        if self.digest_levels:
+            return classify_by_digest(
+                self.source, self.target, self.compared, levels=self.digest_levels, null_keys=self.null_keys
+            )
         return slim(classify(self.source, self.target, self.compared, self.null_keys))
 
     def __enter__(self) -> Validation:
