@@ -22,13 +22,14 @@ an empty table; columns besides the id and the text are not looked at.
 from __future__ import annotations
 
 import heapq
+import os
 import re
+from array import array
 from collections import ChainMap
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
 from itertools import chain, groupby
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -42,14 +43,14 @@ from tokenizers import Tokenizer
 from .common import cut, stored
 
 #: Links after which a run is packed, and runs a merge opens at once.
-RUN_LINKS = 1 << 22
+RUN_LINKS = 1 << 21
 FAN_IN = 64
 #: Parts of the A ids, by their remainder: frequent ids have neighbouring numbers.
 RADIX = 64
 #: Documents of a run take this many bits of a record.
 _DOC_BITS = 20
 #: Pieces of text remembered by a Python worker, and the greatest length of one.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 LONG = 64
 _PIECES = re.compile(r" *[^ ]+(?:(?<=\s) +[^ ]*)*| +")
 _BLOCK = 4096
@@ -67,6 +68,7 @@ class Aligner:
     """Links and groups of texts under a byte-level tokenizer (A) and a sentencepiece model (B)."""
 
     def __init__(self, a_file: str, b_model: bytes) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks fill the cores
         self.a = Tokenizer.from_str(a_file)
         self.a.encode_special_tokens = True
         self.a.no_truncation()
@@ -94,7 +96,10 @@ class Aligner:
         self.spelled = np.array(
             [b"%d%c" % (i, c) for n, last in ((size, b"|"), (self.b_size, b";")) for i in range(n) for c in b"," + last], object
         )
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        #: Ids of A and of B by piece, and the pieces whose bytes one of them changes.
+        self.known_a: dict[str, bytes] = {}
+        self.known_b: dict[str, bytes] = {}
+        self.unfaithful: set[str] = set()
 
     def _b_ids(self, pieces: list[str]) -> list[list[int]]:
         """Pieces start with a blank, which the model adds by itself to what is not empty."""
@@ -104,44 +109,49 @@ class Aligner:
                 found[k] = self.b.encode("x ")[len(self.b.encode("x")) :]
         return found
 
-    def _tokens(self, new: list[str]) -> Iterator[tuple[str, tuple[bytes, bytes] | None]]:
-        """Ids of A and B for each piece; None if their bytes differ from the piece's."""
+    def _learn(self, new: list[str], known_a: dict[str, bytes], known_b: dict[str, bytes]) -> None:
         for at in range(0, len(new), _BLOCK):
             part = new[at : at + _BLOCK]
             a_ids = [e.ids for e in self.a.encode_batch_fast(part, add_special_tokens=False)]
             b_ids = self._b_ids(part)
-            flat, own = "".join(part).encode(), np.cumsum([len(p.encode()) for p in part])
-            if self._spells(flat, own, a_ids, self.a_bytes) and self._spells(flat, own, b_ids, self.b_bytes):
-                same = [True] * len(part)
-            else:
-                same = [p.encode() == b"".join([self.a_bytes[i] for i in a]) == b"".join([self.b_bytes[i] for i in b])
-                        for p, a, b in zip(part, a_ids, b_ids, strict=True)]
-            for piece, a, b, fine in zip(part, a_ids, b_ids, same, strict=True):
-                yield piece, (pack(f"<{len(a)}i", *a), pack(f"<{len(b)}i", *b)) if fine else None
+            known_a.update(zip(part, [array("i", i).tobytes() for i in a_ids], strict=True))
+            known_b.update(zip(part, [array("i", i).tobytes() for i in b_ids], strict=True))
+            flat, stops = "".join(part).encode(), np.cumsum([len(p.encode()) for p in part])
+            if not (self._spells(flat, stops, a_ids, self.a_bytes) and self._spells(flat, stops, b_ids, self.b_bytes)):
+                self.unfaithful.update(
+                    p for p, a, b in zip(part, a_ids, b_ids, strict=True)
+                    if not p.encode() == b"".join([self.a_bytes[i] for i in a]) == b"".join([self.b_bytes[i] for i in b])
+                )
 
     @staticmethod
     def _spells(flat: bytes, stops: np.ndarray, ids: list[list[int]], spelling: list[bytes]) -> bool:
         """Whether the ids spell the bytes and end where the pieces end."""
-        parts = [spelling[i] for i in chain.from_iterable(ids)]
-        ends = np.append(0, np.cumsum([len(p) for p in parts]))[np.cumsum([len(i) for i in ids])]
+        parts = list(map(spelling.__getitem__, chain.from_iterable(ids)))
+        ends = np.append(0, np.cumsum(list(map(len, parts))))[np.cumsum(list(map(len, ids)))]
         return b"".join(parts) == flat and bool((ends == stops).all())
 
     def _encoded(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """Ids of A and B for each text."""
         pieces = [_PIECES.findall(" " + t) if t else [] for t in texts]
         wanted = set(chain.from_iterable(pieces))
-        new = [p for p in wanted if p not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(wanted)
-        long: dict[str, tuple[bytes, bytes] | None] = {}
-        for piece, found in self._tokens(new):
-            (self.known if len(piece) <= LONG else long)[piece] = found
-        look = (ChainMap(long, self.known) if long else self.known).__getitem__
+        new = wanted - self.known_a.keys()
+        if len(self.known_a) + len(new) > REMEMBERED:
+            self.known_a.clear()
+            self.known_b.clear()
+            self.unfaithful.clear()
+            new = wanted
+        self._learn([p for p in new if len(p) <= LONG], self.known_a, self.known_b)
+        a_of, b_of = self.known_a, self.known_b
+        if long := [p for p in new if len(p) > LONG]:
+            long_a, long_b = {}, {}
+            self._learn(long, long_a, long_b)
+            a_of, b_of = ChainMap(long_a, a_of), ChainMap(long_b, b_of)
+        unfaithful = self.unfaithful & wanted
         out = []
         for own in pieces:
-            found = list(map(look, own))
-            out.append((b"", b"") if None in found else (b"".join([a for a, _ in found]), b"".join([b for _, b in found])))
+            whole = unfaithful.isdisjoint(own)
+            out.append((b"".join(map(a_of.__getitem__, own)), b"".join(map(b_of.__getitem__, own))) if whole else (b"", b""))
+        self.unfaithful.difference_update(long)
         return out
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[str]]:

@@ -15,6 +15,7 @@ id keep one entry each, ordered by text; NULL ids come first; no documents give
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -102,6 +103,7 @@ class Words:
     """
 
     def __init__(self, text: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks fill the cores
         self.tokenizer = Tokenizer.from_str(text)
         self.known: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import checking, comparing, digesting, drifting, filing, history, matching, preparing, repairing, typing
+from . import auditing, checking, comparing, digesting, drifting, filing, history, matching, preparing, repairing, typing
 
-_PARTS = (typing, comparing, digesting, checking, repairing, drifting, matching, history, preparing, filing)
+_PARTS = (typing, comparing, digesting, checking, repairing, drifting, matching, history, preparing, filing, auditing)
 
 
 def registered() -> dict[str, tuple]:
