@@ -11,10 +11,15 @@ from ..operators.integrity import (
     orphan_values,
     referential_integrity,
 )
+from ..operators.repair import plan_repair
+from ..plans.observed import save_repair, save_validation
 from ..sources import partitioned as P
 from ..sources.save import scratch
-from .inputs import MAPPING, pair, run, table
-from .repairing import EXISTING, INCOMING
+from .checking import QUERIES as _CHECKED
+from .checking import _null_sql
+from .comparing import QUERIES as _COMPARED
+from .inputs import MAPPING, TARGET_COLUMNS, pair, run, table
+from .repairing import _APPLIED, EXISTING, INCOMING, ROWS
 from .repairing import QUERIES as _REPAIRED
 
 # Children with some references that lead nowhere (a third of the lines to one part) and some that are NULL.
@@ -95,6 +100,33 @@ def repair_stored(spark, sf_dir):
     return P.read_keyed(spark, path)
 
 
+def summary_observed(spark, sf_dir):
+    """The summary of a stored comparison, without what depends on the run."""
+    saved = save_validation(*pair(spark, sf_dir), MAPPING, scratch(spark), details=False)
+    return saved.summary.drop(
+        "source_partition_count", "target_partition_count", "partition_count_status", "run_timestamp", "run_seconds"
+    )
+
+
+def mismatch_observed(spark, sf_dir):
+    """The long report read off the comparison that the counting pass stored."""
+    saved = save_validation(*pair(spark, sf_dir), MAPPING, scratch(spark))
+    return spark.read.parquet(saved.locations["detailed_mismatch"])
+
+
+def _saved_repair(spark, sf_dir):
+    source, target = pair(spark, sf_dir)
+    return save_repair(plan_repair(target, source, MAPPING), f"{scratch(spark)}.parquet")
+
+
+def repair_observed(spark, sf_dir):
+    return _saved_repair(spark, sf_dir).summary
+
+
+def null_counts_observed(spark, sf_dir):
+    return _saved_repair(spark, sf_dir).null_counts
+
+
 # --- SQL side -----------------------------------------------------------------------------------
 
 _WITH = "with " + ", ".join(f"{n}_ as ({sql})" for n, sql in CHILDREN.items())
@@ -163,5 +195,9 @@ QUERIES = {
     "foreign_key_orphan_rows": (foreign_key_orphan_rows, f"{_WITH} select * from lineitem_ where {_orphan(KEYS[2])}"),
     "rule_table": (rule_table, " union all ".join(map(_rule_sql, RULES))),
     "upsert_stored": (upsert_stored, _REPAIRED["upsert_by_key"][1]),
+    "summary_observed": (summary_observed, _CHECKED["validation_summary"][1]),
+    "mismatch_observed": (mismatch_observed, _COMPARED["mismatch_long"][1]),
+    "repair_observed": (repair_observed, _REPAIRED["recon_summary"][1]),
+    "null_counts_observed": (null_counts_observed, _null_sql(TARGET_COLUMNS, f"({ROWS} {_APPLIED}) x")),
     "repair_stored": (repair_stored, _REPAIRED["recon_apply"][1]),
 }
