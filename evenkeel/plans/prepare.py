@@ -131,6 +131,54 @@ def join_tables(tables: Dict[str, DataFrame], steps: tuple[JoinStep, ...]) -> Da
     return joined
 
 
+def _shared_keys(steps: tuple[JoinStep, ...]) -> dict[str, str]:
+    """Each table's key column in a chain of full joins on one shared key."""
+    root = steps[0].left_key
+    for number, step in enumerate(steps):
+        if step.how != "full" or step.left_key != root or step.left != (RESULT if number else steps[0].left):
+            raise ValueError("a chain of full joins on the key of the first table is wanted")
+    keys = {steps[0].left: root, **{s.right: s.right_key for s in steps}}
+    if len(keys) != len(steps) + 1:
+        raise ValueError("a table can take part in the chain once only")
+    return keys
+
+
+def full_chain(tables: Dict[str, DataFrame], steps: tuple[JoinStep, ...]) -> DataFrame:
+    """A chain of full joins on one shared key, in one shuffle of every table: the rows of ``join_tables``.
+
+    All tables become one tagged union that is grouped by the key once. Keys that occur at most once in every
+    table, as keys of lookup tables do, are put together by that; rows of other keys, whose partners
+    multiply, go through the joins, which adaptive skew handling can split. A NULL key has no partner.
+    """
+    keys, parts = _shared_keys(steps), []
+    names = {t: [f"{t}.{c}" for c in tables[t].columns] for t in keys}
+    rows = {t: F.struct(*[F.col(f"`{c}`").alias(f"{t}.{c}") for c in tables[t].columns]) for t in keys}
+    for name, key in keys.items():
+        own = [
+            (rows[n] if n == name else F.lit(None).cast(tables[n].select(rows[n].alias("r")).schema["r"].dataType)).alias(n)
+            for n in keys
+        ]
+        tag = F.lit(name).alias("_tag")
+        parts.append(tables[name].select(F.col(f"`{key}`").alias("_key"), tag, F.struct(*own).alias("_rows")))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionAll(part)
+    flat = [F.col(f"_rows.`{t}`.`{c}`").alias(c) for t in keys for c in names[t]]
+    lone = whole.filter("_key is null").select(*flat)
+    counts = [F.count_if(F.col("_tag") == t).alias(f"_n{i}") for i, t in enumerate(keys)]
+    # Where the key is put together here, at most one of its rows of each table is there.
+    held = [F.first(F.col(f"_rows.`{t}`"), ignorenulls=True).alias(t) for t in keys]
+    grouped = settle(whole.filter("_key is not null").groupBy("_key").agg(*counts, *held))
+    most = F.greatest(*[F.col(f"_n{i}") for i in range(len(keys))])
+    once = grouped.filter(most == 1).select(*[F.col(f"`{t}`.`{c}`").alias(c) for t in keys for c in names[t]])
+    found = once.unionByName(lone)
+    repeated = grouped.filter(most > 1).select("_key")
+    if not repeated.isEmpty():
+        few = {t: tables[t].join(repeated, F.col(f"`{key}`") == F.col("_key"), "left_semi") for t, key in keys.items()}
+        found = found.unionByName(join_tables(few, steps))
+    return found
+
+
 def prepare(
     plan: JoinPlan, tables: Dict[str, DataFrame], target: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..plans.prepare import JoinPlan, JoinStep, join_tables, prepare
+from ..plans.prepare import JoinPlan, JoinStep, full_chain, join_tables, prepare
 from .inputs import table
 
 _SELECTED = {
@@ -66,6 +66,16 @@ def prep_join_full_chain(spark, sf_dir):
     return joined.select(*[F.col(f"`{c}`").alias(c.split(".")[1]) for c in columns])
 
 
+def prep_full_chain_grouped(spark, sf_dir):
+    """The chain from one grouping; customers of three nations share a number that has no supplier."""
+    tables = {t: table(spark, sf_dir, t) for t in ("supplier", "customer", "part")}
+    shared = F.when(F.col("c_nationkey") < 3, F.lit(-1)).otherwise(F.col("c_custkey"))
+    tables["customer"] = tables["customer"].withColumn("c_custkey", shared)
+    columns = ("supplier.s_suppkey", "supplier.s_name", "customer.c_custkey", "customer.c_name", "part.p_partkey", "part.p_name")
+    joined = full_chain(tables, _CHAIN)
+    return joined.select(*[F.col(f"`{c}`").alias(c.split(".")[1]) for c in columns])
+
+
 PLAN = JoinPlan.from_json(
     {
         "multi_source_workflow": {
@@ -157,6 +167,12 @@ QUERIES = {
         "select s_suppkey, c_custkey, p_partkey from supplier full join customer on "
         "s_suppkey = c_custkey full join part on coalesce(s_suppkey, c_custkey) = p_partkey",
     ),
+    "prep_full_chain_grouped": (
+        prep_full_chain_grouped,
+        "with c as (select * replace (case when c_nationkey < 3 then -1 else c_custkey end as c_custkey) from customer) "
+        "select s_suppkey, s_name, c_custkey, c_name, p_partkey, p_name from supplier full join c on "
+        "s_suppkey = c_custkey full join part on coalesce(s_suppkey, c_custkey) = p_partkey",
+    ),
     "prep_project": (prep_project, _SOURCE),
     "prep_target_project": (prep_target_project, _TARGET),
     "prep_full": (

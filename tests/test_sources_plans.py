@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from evenkeel import ColumnMap, Mapping
 from evenkeel.operators import history
-from evenkeel.plans.prepare import JoinPlan, JoinStep, join_tables, prepare_from, route
+from evenkeel.plans.prepare import JoinPlan, JoinStep, full_chain, join_tables, prepare_from, route
 from evenkeel.sources import load as L
 from evenkeel.sources import save as S
 
@@ -180,6 +180,27 @@ def test_right_only_rows_keep_the_key_of_the_result(spark):
         assert values(join_tables(tables, steps)) == wanted
 
 
+@pytest.mark.parametrize("copies", [1, 3])
+def test_grouped_full_chain_equals_the_joins(spark, copies):
+    """Keys that are unique, repeated, NULL, or in some tables only; a table of equal columns and an empty one."""
+    a = [(i, f"a{i}") for i in range(0, 30, 2)] + [(None, "lone")] * copies
+    b = [(i, f"b{i}{j}") for i in range(0, 30, 3) for j in range(copies if i == 6 else 1)] + [(None, None)]
+    c = [(i, f"c{i}{j}") for i in range(0, 30, 5) for j in range(copies if i < 11 else 1)] + [(None, "c")]
+    tables = {
+        "a": spark.createDataFrame(a, "id int, v string"),
+        "b": spark.createDataFrame(b, "k bigint, v string"),
+        "c": spark.createDataFrame(c, "id int, w string"),
+    }
+    steps = (JoinStep("a", "b", "id", "k", "full"), JoinStep("result", "c", "id", "id", "outer"))
+    wanted = join_tables(tables, steps)
+    found = full_chain(tables, steps)
+    assert found.columns == wanted.columns and values(found) == values(wanted)
+    none = {t: df.limit(0) for t, df in tables.items()}
+    assert full_chain(none, steps).count() == 0
+    with pytest.raises(ValueError):
+        full_chain(tables, (JoinStep("a", "b", "id", "k", "left"),))
+
+
 def test_semi_anti_and_bad_joins(tables):
     for how, wanted in (("left_semi", [(1,)]), ("anti", [(2,), (3,)])):
         step = JoinStep("orders", "customers", "customer_id", "id", how)
