@@ -24,6 +24,7 @@ _ORDERS = Mapping.of(
         ColumnMap("o_totalprice", "o_totalprice", "double"),
     ],
 )
+_SUPPLIER = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
 _STAMP = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -75,6 +76,34 @@ def scan_json_multiline(spark, sf_dir):
     return L.load(spark, path).select("n_nationkey", "n_name", "n_regionkey")
 
 
+def _supplier_files(spark, sf_dir, pretty_only=False):
+    """Suppliers as JSON: lines, arrays of up to 50 over several lines, and objects over several lines."""
+    path = f"{S.scratch(spark)}.json"
+    supplier = table(spark, sf_dir, "supplier")
+    key, record = F.col("s_suppkey"), F.to_json(F.struct(*supplier.columns))
+    # A value as JSON: the record of it alone, without braces and name.
+    values = [F.regexp_extract(F.to_json(F.struct(F.col(c).alias("v"))), r'(?s)^\{"v":(.*)\}$', 1) for c in supplier.columns]
+    shown = F.concat_ws(",\n ", *[F.concat(F.lit(f'"{c}": '), v) for c, v in zip(supplier.columns, values)])
+    objects = supplier.filter(key % 10 == 0).select(F.concat(F.lit("{"), shown, F.lit("}")).alias("value"), F.concat(F.lit("o"), key).alias("doc"))
+    rest = supplier.filter(key % 10 != 0)
+    chosen = rest if pretty_only else rest.filter(key % 10 < 5)
+    arrays = chosen.groupBy(F.floor(key / 50).alias("g")).agg(F.array_join(F.collect_list(record), ",\n").alias("rows"))
+    arrays = arrays.select(F.concat(F.lit("[\n"), F.col("rows"), F.lit("\n]")).alias("value"), F.concat(F.lit("a"), F.col("g")).alias("doc"))
+    files = objects.unionByName(arrays)
+    if not pretty_only:
+        files = files.unionByName(rest.filter(key % 10 >= 5).select(record.alias("value"), F.lit("lines").alias("doc")))
+    files.write.partitionBy("doc").text(path)
+    return path
+
+
+def scan_json_pretty(spark, sf_dir):
+    return L.load(spark, _supplier_files(spark, sf_dir, pretty_only=True)).select(*_SUPPLIER)
+
+
+def scan_json_mixed(spark, sf_dir):
+    return L.load(spark, _supplier_files(spark, sf_dir)).select(*_SUPPLIER)
+
+
 def scan_json_schema(spark, sf_dir):
     path = S.save(table(spark, sf_dir, "events"), S.scratch(spark), "json")
     schema = T.StructType(
@@ -188,6 +217,8 @@ QUERIES = {
     "scan_json": (scan_json, _SHOWN),
     "scan_csv_text": (scan_csv_text, "select doc_id, coalesce(text, '') as text, source from documents"),
     "scan_json_multiline": (scan_json_multiline, "select n_nationkey, n_name, n_regionkey from nation"),
+    "scan_json_pretty": (scan_json_pretty, f"select {', '.join(_SUPPLIER)} from supplier"),
+    "scan_json_mixed": (scan_json_mixed, f"select {', '.join(_SUPPLIER)} from supplier"),
     "scan_json_schema": (scan_json_schema, "select value, event_id from events"),
     "scan_parquet": (scan_parquet, _SHOWN),
     "scan_parquet_merged": (

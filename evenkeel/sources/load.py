@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import re
 from pathlib import PurePosixPath
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.typed import typed
 from ..mapping import Mapping
+from .documents import documents_fail, layouts, read_documents
 
 SUFFIXES = {".csv": "csv", ".json": "json", ".parquet": "parquet"}
 DECLARED = {
@@ -48,44 +47,6 @@ def read_csv(
     return reader.option("escape", '"').option("multiLine", multiline).csv(path)
 
 
-def _json_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """The files of lines and those that are one document each, by the first line of each that is not blank."""
-    line = F.btrim("value", F.lit(" \t\r"))
-    whole = F.json_object_keys(line).isNotNull() | F.json_array_length(line).isNotNull()
-    begun = line.startswith("[") | (line == "{")
-    kind = F.when(whole, 0).when(begun, 1).otherwise(2)
-    # The number of a row in its partition, with its kind in the lowest bits: the least one of a split is its first.
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    heads = spark.read.text(path).filter(line != "").select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        (row * 4 + kind).alias("head"),
-    )
-    splits = heads.groupBy("file", "start").agg(F.min("head").alias("head"))
-    files = splits.groupBy("file").agg(F.min_by("head", "start").alias("head")).collect()
-    by_kind = {k: sorted(unquote(r["file"]) for r in files if r["head"] % 4 == k) for k in range(3)}
-    if by_kind[2]:
-        raise ValueError(
-            f"cannot tell JSON lines from a document by the first line of {by_kind[2][:5]} "
-            f"({len(by_kind[2])} files); say which with multiline"
-        )
-    return by_kind[0], by_kind[1]
-
-
-def _common(a: T.DataType, b: T.DataType) -> T.DataType:
-    """The type that holds values of two inferred ones, text where nothing else does."""
-    if a == b:
-        return a
-    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
-        other = {f.name: f.dataType for f in b.fields}
-        fields = [T.StructField(f.name, _common(f.dataType, other.pop(f.name, f.dataType))) for f in a.fields]
-        return T.StructType(fields + [T.StructField(n, t) for n, t in other.items()])
-    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
-        return T.ArrayType(_common(a.elementType, b.elementType))
-    if {type(a), type(b)} == {T.LongType, T.DoubleType}:
-        return T.DoubleType()
-    return T.StringType()
-
-
 def read_json(
     spark: SparkSession,
     path: str,
@@ -95,26 +56,20 @@ def read_json(
     """JSON lines, or whole documents with ``multiline`` (one task per file).
 
     By default the first line of every file tells which, at the price of one more pass over the text: a whole
-    object or array is a line, ``[`` or a lone ``{`` begins a document, anything else is an error.
+    object or array is a line, anything else begins a document, which must be one as a whole.
     """
     plain = spark.read.schema(schema) if schema else spark.read
     if multiline is not None:
         return plain.option("multiLine", multiline).json(path)
-    lines, documents = _json_files(spark, path)
-    if not (lines and documents):
-        return plain.option("multiLine", bool(documents)).json(path)
-
-    def read(files: list[str], whole: bool, schema: T.StructType | None) -> DataFrame:
-        reader = spark.read.schema(schema) if schema else spark.read
-        if not re.search(r"[][{}*?\\]", path):
-            reader = reader.option("basePath", path)
-        # File names are no patterns.
-        names = [re.sub(r"([][{}*?\\])", r"\\\1", f) for f in files]
-        return reader.option("multiLine", whole).json(names)
-
-    if schema is None:
-        schema = _common(read(lines, False, None).schema, read(documents, True, None).schema)
-    return read(lines, False, schema).unionByName(read(documents, True, schema))
+    kinds = layouts(spark, path)
+    lines, documents, unclear = kinds.select(
+        F.count_if("by_line"), F.count_if(~F.col("by_line")), F.count_if(~F.col("by_line") & ~F.col("begun"))
+    ).first()
+    if unclear and (bad := [r.file for r in documents_fail(spark, path).limit(5).collect()]):
+        raise ValueError(f"neither JSON lines nor a document: {bad}; say which with multiline")
+    if lines and documents:
+        return read_documents(spark, path, schema)
+    return plain.option("multiLine", bool(documents)).json(path)
 
 
 def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:

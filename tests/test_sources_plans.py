@@ -3,10 +3,12 @@ import json
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evenkeel import ColumnMap, Mapping
 from evenkeel.operators import history
 from evenkeel.plans.prepare import JoinPlan, JoinStep, full_chain, join_tables, prepare_from, route
+from evenkeel.sources import documents as D
 from evenkeel.sources import load as L
 from evenkeel.sources import save as S
 
@@ -51,6 +53,35 @@ def test_json_mode_of_every_file(spark, tmp_path):
     assert "_corrupt_record" not in found.columns
 
 
+def test_pretty_documents_whose_first_line_holds_more_than_a_brace(spark, tmp_path):
+    (tmp_path / "p.json").write_text('{"a": 1,\n "b": 2}')
+    assert values(L.load(spark, str(tmp_path / "p.json"))) == [(1, 2)]
+
+
+def test_documents_of_all_layouts(spark, tmp_path):
+    """Nested values, types that differ, odd names, torn lines, empty arrays; more lines than one split holds."""
+    folder = tmp_path / "all.json"
+    folder.mkdir()
+    (folder / "a.json").write_text('{"a": 1,\n "x y": {"c": [1, 2]},\n "m": 1}')
+    (folder / "b.json").write_text('[]\n{"a": 2.5, "m": "t"}\n{"a": \n')
+    (folder / "c.json").write_text('[\n {"a": null},\n {"a": 4, "x y": {"c": [], "d": "e\\nf"}, "m": {"k": 1}}\n]')
+    (folder / "d.json").write_text("\n \n")
+    (folder / "e.json").write_text("".join(f'{{"a": {i}}}\n' for i in range(100, 600)))
+    found = D.read_documents(spark, str(folder))
+    assert sorted(found.columns) == ["a", "m", "x y"] and found.schema["a"].dataType.simpleString() == "double"
+    rows = {r.a: r for r in found.collect()}
+    assert found.count() == 505 and set(rows) >= {1, 2.5, 4, *range(100, 600)}
+    assert rows[1]["x y"].c == [1, 2] and rows[4]["x y"].d == "e\nf" and rows[4]["x y"].c == []
+    assert (rows[1].m, rows[2.5].m, rows[4].m) == ("1", "t", '{"k":1}')
+    assert values(L.load(spark, str(folder))) == values(found)
+    text = T.StructType([T.StructField("a", T.StringType())])
+    assert sorted(r.a for r in D.read_documents(spark, str(folder), text).filter("length(a) < 3 or a = '2.5'").collect()) == ["1", "2.5", "4"]
+    none = tmp_path / "none.json"
+    none.mkdir()
+    (none / "x.json").write_text("")
+    assert D.read_documents(spark, str(none)).count() == 0
+
+
 @pytest.mark.parametrize("first", ['{"a": 1, "b', '"a": 1}', '{"a": {"b": 1}'])
 def test_json_of_unclear_mode_is_an_error(spark, tmp_path, first):
     path = tmp_path / "t.json"
