@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.names import name_key
 from ..operators import matching as M
 from ..operators.profile import infer_types
+from ..operators.sharing import match_by_values
 from ..plans.generate import generate_mapping
 from .inputs import run
 
@@ -110,6 +111,22 @@ def infer_types_query(spark, sf_dir):
     return infer_types(run(spark, sf_dir, PROFILED))
 
 
+# Orders under names that tell nothing, as text, without some rows and with some other prices.
+RENAMED = """
+select cast(o_orderkey as string) a, cast(o_custkey as string) b, o_orderstatus c,
+       case when o_orderkey % 50 = 0 then '1.5' else cast(cast(o_totalprice as decimal(18,2)) as string) end d,
+       cast(cast(o_orderdate as date) as string) e, concat(' ', o_orderpriority) f, cast(null as string) g,
+       cast(o_orderkey % 7 as string) h
+from orders where o_orderkey % 97 <> 0
+"""
+
+
+def column_match_values(spark, sf_dir):
+    """Renamed columns of orders, found by what they hold."""
+    found = match_by_values(run(spark, sf_dir, "select * from orders"), run(spark, sf_dir, RENAMED))
+    return found.withColumn("overlap", F.round("overlap", 9))
+
+
 def generate_mapping_query(spark, sf_dir):
     """A mapping from the text table to one whose columns are spelled otherwise."""
     source = run(spark, sf_dir, PROFILED)
@@ -220,7 +237,31 @@ _INFERRED = " union all ".join(_inferred(i, c) for i, c in enumerate(_TEXTS)) +
     f" union all select 'native_time', {len(_TEXTS) + 2}, 'timestamp', 'yyyy-MM-dd HH:mm:ss'"
 )
 
+_ORDER_COLUMNS = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
+
+
+def _held(columns, table_name: str) -> str:
+    text = "nullif(trim(cast({c} as varchar)), '')"
+    value = f"coalesce(cast(try_cast({text} as decimal(38,10)) as varchar), regexp_replace({text}, ' 00:00:00$', ''))"
+    return " union ".join(f"select '{c}' c, {value.format(c=c)} v from {table_name}" for c in columns)
+
+
+_SHARED = f"""
+with r as ({RENAMED}), s as (select * from ({_held(_ORDER_COLUMNS, 'orders')}) x where v is not null),
+t as (select * from ({_held('abcdefgh', 'r')}) x where v is not null),
+ns as (select c, count(*) n from s group by c), nt as (select c, count(*) n from t group by c),
+b as (select s.c source_column, t.c target_column, count(*) shared_values from s join t using (v) group by all),
+p as (select source_column, target_column, ns.n source_values, nt.n target_values, shared_values,
+      shared_values / greatest(ns.n, nt.n) overlap from b join ns on ns.c = source_column join nt on nt.c = target_column),
+q as (select *, row_number() over (partition by source_column order by overlap desc, shared_values desc, target_column) x,
+      row_number() over (partition by target_column order by overlap desc, shared_values desc, source_column) y
+      from p where overlap >= 0.5)
+select source_column, target_column, source_values, target_values, shared_values, round(overlap, 9) overlap
+from q where x = 1 and y = 1
+"""
+
 QUERIES = {
+    "column_match_values": (column_match_values, _SHARED),
     "name_key": (
         name_key_query,
         f"select pair, side, column_name, {_KEY} as key from ({CATALOG}) c",

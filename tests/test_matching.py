@@ -13,6 +13,8 @@ from evenkeel.functions.names import sequence_ratio
 from evenkeel.operators.drift import CATALOG
 from evenkeel.operators.matching import backfill, keyed_names, match_columns, similar_keys
 from evenkeel.operators.profile import infer_types
+from evenkeel.operators.sharing import match_by_values
+from evenkeel.plans.generate import generate_mapping
 
 
 def key(name):
@@ -181,3 +183,37 @@ def test_long_names_score_like_short_ones(spark):
     row = spark.createDataFrame([("ab" * 150, "ba" * 150)], "a string, b string")
     score = row.select(sequence_ratio(F.col("a"), F.col("b"))).first()[0]
     assert score == pytest.approx(2 * 299 / 600)
+
+
+def test_columns_are_matched_by_values(spark):
+    """Renamed columns are found, also small ones; ranges that only contain each other and empty columns are not."""
+    source = spark.range(4000).selectExpr(
+        "id", "id % 3 small", "cast(id * 1.5 as double) price", "concat('n', id % 700) name", "cast(null as string) none",
+        "date_add(date'2020-01-01', cast(id % 300 as int)) day", "array(id) nested",
+    )
+    target = source.filter("id % 50 <> 0").selectExpr(
+        "cast(id as string) x1", "concat(cast(small as string), '.0') x2", "cast(price as decimal(20,4)) x3", "concat(name, ' ') x4",
+        "none x5", "cast(day as timestamp_ntz) x6", "cast(id % 900 as string) x7", "nested x8",
+    )
+    found = {r.source_column: r for r in match_by_values(source, target).collect()}
+    pairs = {s: r.target_column for s, r in found.items()}
+    assert pairs == {"id": "x1", "small": "x2", "price": "x3", "name": "x4", "day": "x6", "nested": "x8"}
+    assert (found["id"].source_values, found["id"].target_values, found["id"].shared_values) == (4000, 3920, 3920)
+    assert match_by_values(source.limit(0), target).count() == 0
+    assert match_by_values(source.select("none"), target).count() == 0
+    for cutoff in (0, 1.5):
+        with pytest.raises(ValueError):
+            match_by_values(source, target, cutoff)
+
+
+def test_left_over_columns_of_a_mapping_are_matched_by_values(spark):
+    source = spark.range(50).selectExpr("id cust_id", "concat('n', id) nm", "id + 1000 total", "'z' flag")
+    target = spark.range(48).selectExpr("id custid", "concat('n', id) full_name", "id + 1000 amount", "id % 7 batch")
+    rows = generate_mapping(source, target, values_cutoff=0.8).collect()
+    found = {(r.source_column, r.target_column, r.match_type) for r in rows}
+    assert found == {
+        ("cust_id", "custid", "one-to-one"), ("nm", "full_name", "shared-values"), ("total", "amount", "shared-values"),
+        ("flag", None, "unmapped_source"), (None, "batch", "unmapped_target"),
+    }
+    plain = generate_mapping(source, target)
+    assert {r.match_type for r in plain.collect()} == {"one-to-one", "unmapped_source", "unmapped_target"}
