@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.normalize import norm, row_hash
 from ..mapping import Mapping
+from ..sources.save import settle
 from .classify import field_differs, key_columns, keyed, paired, survivors
-from .skew import HOT_ROWS, join_to_unique
 
 
 def raw_keys(mapping: Mapping, side: str) -> list[Column]:
@@ -50,14 +50,15 @@ def duplicate_keys(df: DataFrame, mapping: Mapping, side: str) -> DataFrame:
     return groups.filter(F.col("count") > 1).select(*names, "count")
 
 
-def duplicate_rows(
-    df: DataFrame, mapping: Mapping, side: str, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
-    """All rows whose key occurs more than once, with that number as ``duplicate_count``."""
+def duplicate_rows(df: DataFrame, mapping: Mapping, side: str) -> DataFrame:
+    """All rows whose key occurs more than once, with that number as ``duplicate_count``.
+
+    The repeated keys are stored first, so that the join reads plain shuffles, which adaptive execution
+    can split where one key holds most rows."""
     keys = key_columns(mapping)
     rows = keyed(df, mapping, side)
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("duplicate_count"))
-    found = join_to_unique(rows, counts.filter("duplicate_count > 1"), keys, "inner", hot_rows)
+    found = rows.join(settle(counts.filter("duplicate_count > 1")), keys)
     return found.select("row.*", "duplicate_count")
 
 

@@ -2,6 +2,10 @@
 
 A source key with several rows counts with its least row. Every target row is compared on its own,
 so all copies of a duplicated target key are repaired.
+
+Source rows are reduced to one per key and stored in the shared folder; all target rows are then joined to
+that table from the left, and the keys the target lacks are found by an anti join. Both joins read plain
+shuffles, so adaptive execution can split a key that holds most rows.
 """
 
 from __future__ import annotations
@@ -13,13 +17,14 @@ from pyspark.sql import types as T
 from ..functions.normalize import differs, plain
 from ..functions.typed import typed
 from ..mapping import ColumnMap, Mapping
+from ..sources.save import settle
 from .classify import key_columns, key_exprs, keyed, survivors
-from .skew import HOT_ROWS, hot_hashes, is_hot, join_to_unique
 
 
 def _source_rows(source: DataFrame, mapping: Mapping, null_keys: str = "equal") -> DataFrame:
+    """One row per key, stored."""
     rows = keyed(source, mapping, "source", null_keys=null_keys)
-    return survivors(rows, key_columns(mapping, null_keys), "n_src", "src").drop("n_src")
+    return settle(survivors(rows, key_columns(mapping, null_keys), "n_src", "src").drop("n_src"))
 
 
 def _target_rows(target: DataFrame, mapping: Mapping, null_keys: str = "equal") -> DataFrame:
@@ -102,21 +107,17 @@ def update_rows(
     *,
     null_update: str = "keep",
     scope: str = "row",
-    hot_rows: int | None = HOT_ROWS,
+    null_keys: str = "equal",
 ) -> DataFrame:
     """Replace differing values of matched target rows by the source's.
 
     ``null_update="keep"`` leaves values alone that are NULL in the source. ``scope="union"``
-    overwrites, in every changed row, all columns that differ in any row.
+    overwrites, in every changed row, all columns that differ in any row. With ``null_keys="distinct"`` rows
+    with a NULL in their key match none.
     """
     row = _Row(source, target, mapping, null_update)
-    joined = join_to_unique(
-        _target_rows(target, mapping),
-        _source_rows(source, mapping),
-        key_columns(mapping),
-        "left",
-        hot_rows,
-    )
+    own = _source_rows(source, mapping, null_keys)
+    joined = _target_rows(target, mapping, null_keys).join(own, key_columns(mapping, null_keys), "left")
     changed = F.when(F.col("src").isNotNull(), row.changed()).otherwise(
         F.array().cast("array<string>")
     )
@@ -134,22 +135,22 @@ def update_rows(
     return joined.select(*row.corrected(forced))
 
 
-def insert_rows(target: DataFrame, source: DataFrame, mapping: Mapping) -> DataFrame:
+def insert_rows(
+    target: DataFrame, source: DataFrame, mapping: Mapping, null_keys: str = "equal"
+) -> DataFrame:
     """Add the source rows whose key the target lacks."""
-    keys = key_columns(mapping)
-    known = target.select(*key_exprs(target, mapping, "target")).distinct()
-    missing = _source_rows(source, mapping).join(known, keys, "left_anti")
+    known = target.select(*key_exprs(target, mapping, "target", null_keys)).distinct()
+    missing = _source_rows(source, mapping, null_keys).join(known, key_columns(mapping, null_keys), "left_anti")
     row = _Row(source, target, mapping, "keep")
     return target.unionByName(missing.select(*row.inserted()))
 
 
 def delete_rows(
-    target: DataFrame, source: DataFrame, mapping: Mapping, hot_rows: int | None = HOT_ROWS
+    target: DataFrame, source: DataFrame, mapping: Mapping, null_keys: str = "equal"
 ) -> DataFrame:
     """Remove the target rows whose key the source lacks."""
-    keys = key_columns(mapping)
-    known = source.select(*key_exprs(source, mapping, "source")).distinct()
-    kept = join_to_unique(_target_rows(target, mapping), known, keys, "left_semi", hot_rows)
+    known = settle(source.select(*key_exprs(source, mapping, "source", null_keys)).distinct())
+    kept = _target_rows(target, mapping, null_keys).join(known, key_columns(mapping, null_keys), "left_semi")
     return kept.select("tgt.*")
 
 
@@ -160,13 +161,11 @@ def plan_repair(
     *,
     null_update: str = "keep",
     null_keys: str = "equal",
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Every row of the repair in one pass: what happens to it and the columns of the target.
+    """Every row of the repair: what happens to it and the columns of the target.
 
     ``_action`` is keep, update, insert or delete, ``_changed`` names the replaced columns, ``_stays``
-    is false for deleted rows only and costs no comparison of values. Source rows are reduced to one per key and joined
-    to all target rows by one full outer join; rows of very frequent target keys take a broadcast.
+    is false for deleted rows only and costs no comparison of values.
     With ``null_keys="distinct"`` rows with a NULL in their key are no partners: those of the source are
     inserted and those of the target deleted.
     """
@@ -174,16 +173,8 @@ def plan_repair(
     row = _Row(source, target, mapping, null_update)
     own = _source_rows(source, mapping, null_keys)
     others = _target_rows(target, mapping, null_keys)
-    hot = hot_hashes(others, keys, hot_rows)
-    if hot:
-        mark = is_hot(keys, hot)
-        cold = own.filter(~mark).join(others.filter(~mark), keys, "full_outer")
-        busy, few = others.filter(mark), own.filter(mark)
-        left = busy.join(F.broadcast(few), keys, "left")
-        alone = few.join(busy.select(*keys).distinct(), keys, "left_anti")
-        joined = cold.unionByName(left).unionByName(alone, allowMissingColumns=True)
-    else:
-        joined = own.join(others, keys, "full_outer")
+    alone = own.join(others.select(*keys).distinct(), keys, "left_anti")
+    joined = others.join(own, keys, "left").unionByName(alone, allowMissingColumns=True)
     nothing = F.array().cast("array<string>")
     both = F.col("src").isNotNull() & F.col("tgt").isNotNull()
     joined = joined.withColumn("changed", F.when(both, row.changed()).otherwise(nothing))
@@ -237,7 +228,6 @@ def upsert_by_key(
     existing: DataFrame,
     incoming: DataFrame,
     keys: list[str],
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Rows of a keyed table after writing ``incoming`` into it; nothing is deleted.
 
@@ -247,7 +237,7 @@ def upsert_by_key(
     names = [F.col(f"`{c}`") for c in existing.columns]
     # Structs are equal where both have a NULL.
     key = F.struct(*[F.col(f"`{c}`") for c in keys]).alias("key")
-    new = incoming.groupBy(key).agg(F.min(F.struct(*names)).alias("row"))
+    new = settle(incoming.groupBy(key).agg(F.min(F.struct(*names)).alias("row")))
     rows = existing.select(key, F.struct(*names).alias("row"))
-    kept = join_to_unique(rows, new.select("key"), ["key"], "left_anti", hot_rows)
+    kept = rows.join(new.select("key"), "key", "left_anti")
     return kept.select("row.*").unionByName(new.select("row.*"))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 
 from ..mapping import Mapping
 from ..operators import repair
-from ..operators.skew import HOT_ROWS
 from ..sources.save import settle
 from .validation import Validation
 
@@ -32,7 +31,6 @@ def reconcile(
     *,
     null_update: str = "keep",
     null_keys: str = "equal",
-    hot_rows: int | None = HOT_ROWS,
     settle_plan: bool = False,
     **options,
 ) -> Reconciliation:
@@ -45,7 +43,7 @@ def reconcile(
     options["null_keys"] = null_keys
     before = Validation(source, target, mapping, **options)
     plan = repair.plan_repair(
-        target, source, before.compared, null_update=null_update, null_keys=null_keys, hot_rows=hot_rows
+        target, source, before.compared, null_update=null_update, null_keys=null_keys
     )
     if settle_plan:
         plan = settle(plan)

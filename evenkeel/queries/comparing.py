@@ -114,7 +114,7 @@ _HASHES = (
     f"select order_id, {_hash(SOURCE_COLUMNS)} source_row_hash, "
     f"{_hash(TARGET_COLUMNS)} target_row_hash from c where n_src > 0 and n_tgt > 0"
 )
-_LINE_COLUMNS = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag"
+_LINE_COLUMNS = ", ".join(c.source for c in LINES.columns)
 _NULL_SIDES = f"""
 s2 as (select {sql_norm('order_id', 'numeric')} k,
                   case when order_id is null then 's' else '' end side from ({_NULL_SOURCE}) a),

@@ -88,7 +88,11 @@ LINES = Mapping.of(
         ColumnMap("l_suppkey", "l_suppkey", "integer"),
         ColumnMap("l_quantity", "l_quantity", "double"),
         ColumnMap("l_extendedprice", "l_extendedprice", "double"),
+        ColumnMap("l_discount", "l_discount", "double"),
+        ColumnMap("l_tax", "l_tax", "double"),
         ColumnMap("l_returnflag", "l_returnflag", "string"),
+        ColumnMap("l_linestatus", "l_linestatus", "string"),
+        ColumnMap("l_shipdate", "l_shipdate", "timestamp"),
     ],
 )
 

@@ -8,7 +8,9 @@ from ..operators import repair
 from ..plans.validation import Validation
 from ..sources.save import settle
 from .checking import CHECKS, _COUNTS
-from .inputs import MAPPING, PAIR, SOURCE, SOURCE_COLUMNS, TARGET_COLUMNS, pair, run, sql_differs
+from .inputs import (
+    MAPPING, PAIR, SOURCE, SOURCE_COLUMNS, TARGET, TARGET_COLUMNS, pair, run, sql_differs, sql_norm,
+)
 
 
 def recon_update(spark, sf_dir):
@@ -47,7 +49,7 @@ def recon_apply_null_keys(spark, sf_dir):
     source = source.withColumn("order_id", F.when(F.col("status") == "P", none).otherwise(F.col("order_id")))
     target = target.withColumn("ord_id", F.when(F.col("status_cd") == "P", none).otherwise(F.col("ord_id")))
     plan = repair.plan_repair(target, source, MAPPING, null_update="overwrite", null_keys="distinct")
-    return repair.repaired(plan).filter(F.col("ord_id").isNull())
+    return repair.repaired(plan)
 
 
 def recon_summary(spark, sf_dir):
@@ -114,6 +116,20 @@ _INSERTS = f"select {_NEW} from r where t_k is null"
 _APPLIED = (
     f"select {_FIXED} from r where s_k is not null and t_k is not null union all {_INSERTS}"
 )
+# The same rows with keys that are NULL on both sides and meet no other side.
+_NULL_ROWS = ROWS
+for _was, _is in {
+    f"src as ({SOURCE})": f"src as (select case when status = 'P' then null else order_id end order_id, * exclude (order_id) from ({SOURCE}))",
+    f"tgt as ({TARGET})": f"tgt as (select case when status_cd = 'P' then null else ord_id end ord_id, * exclude (ord_id) from ({TARGET}))",
+    f"{sql_norm('order_id', 'numeric')} k": f"case when order_id is null then 's' else {sql_norm('order_id', 'numeric')} end k",
+    f"{sql_norm('ord_id', 'numeric')} k": f"case when ord_id is null then 't' else {sql_norm('ord_id', 'numeric')} end k",
+}.items():
+    if _NULL_ROWS.count(_was) != 1:
+        raise ValueError(f"no such part: {_was}")
+    _NULL_ROWS = _NULL_ROWS.replace(_was, _is)
+_OVERWRITTEN = "t_ord_id ord_id, " + ", ".join(
+    f"case when d_{c.source} then s_{c.source} else t_{c.target} end {c.target}" for c in MAPPING.compare
+)
 # The pair's WITH clause with the repaired rows in place of the target.
 _AGAIN = (
     f"with fixed as ({ROWS} {_APPLIED}), "
@@ -148,9 +164,7 @@ QUERIES = {
     ),
     "recon_apply_null_keys": (
         recon_apply_null_keys,
-        f"with src as ({SOURCE}), p as (select null::varchar order_id, * exclude (order_id) from src "
-        f"where status = 'P') select {', '.join(f'{c.source} {c.target}' for c in MAPPING.columns)} from p "
-        f"order by {', '.join(f'{c} nulls first' for c in SOURCE_COLUMNS)} limit 1",
+        f"{_NULL_ROWS} select {_OVERWRITTEN} from r where s_k is not null and t_k is not null union all {_INSERTS}",
     ),
     "recon_update_details": (
         _details("update"),

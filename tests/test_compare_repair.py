@@ -40,53 +40,80 @@ def random_pair(text, seed, rows=60):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("hot_rows", [None, 3])
-def test_one_pass_repair_equals_the_three_steps(text, seed, hot_rows):
+@pytest.mark.parametrize("null_keys", ["equal", "distinct"])
+def test_one_pass_repair_equals_the_three_steps(text, seed, null_keys):
     source, target = random_pair(text, seed)
-    plan = repair.plan_repair(target, source, MAPPING, hot_rows=hot_rows)
-    step = repair.update_rows(target, source, MAPPING, hot_rows=hot_rows)
-    step = repair.insert_rows(step, source, MAPPING)
-    step = repair.delete_rows(step, source, MAPPING, hot_rows=hot_rows)
+    plan = repair.plan_repair(target, source, MAPPING, null_keys=null_keys)
+    step = repair.update_rows(target, source, MAPPING, null_keys=null_keys)
+    if null_keys == "equal":
+        step = repair.insert_rows(step, source, MAPPING)
+        step = repair.delete_rows(step, source, MAPPING)
+    else:  # rows without a partner would be deleted again after their insertion
+        step = repair.delete_rows(step, source, MAPPING, null_keys)
+        step = repair.insert_rows(step, source, MAPPING, null_keys)
     assert values(repair.repaired(plan)) == values(step)
 
 
 @pytest.mark.parametrize("seed", [3, 4])
 def test_repair_leaves_nothing_to_repair(text, seed):
     source, target = random_pair(text, seed)
-    plan = repair.plan_repair(target, source, MAPPING, null_update="overwrite", hot_rows=4)
+    plan = repair.plan_repair(target, source, MAPPING, null_update="overwrite")
     fixed = repair.repaired(plan)
     run = Validation(source, fixed, MAPPING)
     totals = checks.key_totals(run.classified).first()
     assert totals.mismatch_record_count == 0
     assert totals.extra_records_in_source_count == totals.extra_records_in_target_count == 0
     again = repair.repaired(
-        repair.plan_repair(fixed, source, MAPPING, null_update="overwrite", hot_rows=None)
+        repair.plan_repair(fixed, source, MAPPING, null_update="overwrite")
     )
     assert values(again) == values(fixed)
 
 
-def test_hot_target_rows_all_survive(spark):
-    """One key holds most target rows; each copy is repaired and none is lost."""
-    target = spark.range(3000).select(
+@pytest.fixture
+def splitting(spark):
+    """Settings under which small skewed partitions are split and no side is broadcast."""
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _final(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_target_rows_all_survive(spark, splitting):
+    """One key holds most target rows; each copy is repaired, none is lost, and its partition is split."""
+    target = spark.range(0, 30_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(1)).cast("string").alias("no"),
         F.lit("5").alias("amt"),
         F.lit("1/2/2020").alias("dt"),
-        F.col("id").cast("string").alias("nm"),
+        F.sha2(F.col("id").cast("string"), 256).alias("nm"),
     )
-    source = spark.range(1500).select(
+    source = spark.range(15_000).select(
         F.col("id").cast("string").alias("id"),
         F.lit("6").alias("amount"),
         F.lit("1/2/2020").alias("day"),
         F.lit("z").alias("name"),
     )
-    cold = repair.plan_repair(target, source, MAPPING, hot_rows=None)
-    hot = repair.plan_repair(target, source, MAPPING, hot_rows=100)
-    assert values(hot) == values(cold)
-    assert "BroadcastHashJoin" in hot._jdf.queryExecution().simpleString()
-    assert repair.repair_summary(hot).first().total_updates == 2500
-    for side_rows in (None, 100):
-        kept = compare.duplicate_rows(target, MAPPING, "target", hot_rows=side_rows)
-        assert kept.count() == 2000
+    plan = repair.plan_repair(target, source, MAPPING)
+    totals = repair.repair_summary(plan).first()
+    assert (totals.total_updates, totals.total_inserts, totals.total_deletes) == (25_000, 9_999, 5_000)
+    fixed = repair.repaired(plan)
+    assert fixed.filter("amt = 6 and nm = 'z'").count() == 34_999 == fixed.count()
+    assert "skew=true" in _final(plan.select("*").agg(F.max("nm"), F.max("_changed")))
+    kept = compare.duplicate_rows(target, MAPPING, "target")
+    assert kept.count() == 20_000 and "skew=true" in _final(kept.agg(F.max("name")))
 
 
 def test_order_of_rows_does_not_matter(text):
@@ -188,9 +215,8 @@ def test_nested_columns_compare_as_json(spark):
 def test_upsert(spark):
     old = spark.sql("select * from values (1, 'a'), (2, 'b') t(k, v)")
     new = spark.sql("select * from values (2, 'z'), (2, 'c'), (3, 'd') t(k, v)")
-    for hot_rows in (None, 1):
-        done = repair.upsert_by_key(old, new, ["k"], hot_rows)
-        assert values(done) == [(1, "a"), (2, "c"), (3, "d")]
+    done = repair.upsert_by_key(old, new, ["k"])
+    assert values(done) == [(1, "a"), (2, "c"), (3, "d")]
     old = spark.sql("select * from values (1, 'a'), (null, 'b') t(k, v)")
     new = spark.sql("select * from values (cast(null as int), 'c') t(k, v)")
     assert values(repair.upsert_by_key(old, new, ["k"])) == [(None, "c"), (1, "a")]
