@@ -53,6 +53,13 @@ def norm_key(
     )
 
 
+def norm_value(
+    raw: Column, kind: str, pattern: str | None, dtype: T.DataType | None, unfit: str = "equal"
+) -> Column:
+    """Canonical text of a compared value; with ``unfit="distinct"`` as that of a key."""
+    return (norm_key if unfit == "distinct" else norm)(raw, kind, pattern, dtype)
+
+
 def row_hash(*values: Column) -> Column:
     """SHA-256 of the joined values, NULL when there is none to join."""
     if not values:
@@ -67,9 +74,11 @@ def differs(
     pattern: str | None,
     left_type: T.DataType,
     right_type: T.DataType,
+    unfit: str = "equal",
 ) -> Column:
     """True where the canonical texts differ. Equal raw values skip the parsing."""
-    unequal = norm(left, kind, pattern, left_type) != norm(right, kind, pattern, right_type)
+    one, other = norm_value(left, kind, pattern, left_type, unfit), norm_value(right, kind, pattern, right_type, unfit)
+    unequal = one != other
     if left_type == right_type:
         return ~left.eqNullSafe(right) & unequal
     return unequal

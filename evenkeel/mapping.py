@@ -59,12 +59,17 @@ class ColumnMap:
 
 @dataclass(frozen=True)
 class Mapping:
-    """``names`` says whose column names the compared frames and reports carry."""
+    """``names`` says whose column names the compared frames and reports carry.
+
+    ``unfit`` says how compared values that do not fit their declared type are taken: ``equal`` to a blank
+    and to each other, or ``distinct``, each as its own text. Keys that do not fit are always distinct.
+    """
 
     keys: tuple[ColumnMap, ...]
     compare: tuple[ColumnMap, ...]
     gaps: tuple[ColumnMap, ...] = ()
     names: str = "source"
+    unfit: str = "equal"
 
     @property
     def columns(self) -> tuple[ColumnMap, ...]:
@@ -89,6 +94,7 @@ class Mapping:
         *,
         names: str = "source",
         require_formats: bool = False,
+        unfit: str = "equal",
     ) -> Mapping:
         """Build a mapping; ``keys`` are source column names.
 
@@ -97,6 +103,8 @@ class Mapping:
         keys, columns = list(keys), list(columns)
         if names not in ("source", "target"):
             raise MappingError(f"names must be 'source' or 'target', not {names!r}")
+        if unfit not in ("equal", "distinct"):
+            raise MappingError(f"unfit must be 'equal' or 'distinct', not {unfit!r}")
         if not keys:
             raise MappingError("a mapping needs at least one primary key")
         if not columns:
@@ -118,6 +126,7 @@ class Mapping:
             compare=tuple(c for c in whole.values() if c.source not in keys),
             gaps=tuple(c for c in columns if not (c.source and c.target)),
             names=names,
+            unfit=unfit,
         )
 
     @classmethod

@@ -112,6 +112,7 @@ def field_differs(frame: DataFrame, mapping: Mapping, column: ColumnMap) -> Colu
         column.date_format,
         frame.schema["src"].dataType[name].dataType,
         frame.schema["tgt"].dataType[name].dataType,
+        mapping.unfit,
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.normalize import norm, row_hash
+from ..functions.normalize import norm_value, row_hash
 from ..mapping import Mapping
 from ..sources.save import settle
 from .classify import field_differs, key_columns, keyed, paired, survivors
@@ -111,11 +111,12 @@ def hash_mismatch_rows(pairs: DataFrame, mapping: Mapping) -> DataFrame:
         fields = pairs.schema[side].dataType
         return row_hash(
             *[
-                norm(
+                norm_value(
                     F.col(side).getField(mapping.name(c)),
                     c.kind,
                     c.date_format,
                     fields[mapping.name(c)].dataType,
+                    mapping.unfit,
                 )
                 for c in mapping.compare
             ]

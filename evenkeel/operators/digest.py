@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.normalize import norm
+from ..functions.normalize import norm_value
 from ..mapping import Mapping
 from ..sources.save import settle
 from .classify import classify, key_columns, key_exprs
@@ -24,7 +24,7 @@ _SUMS = ["rows", *(f"s{i}" for i in range(4))]
 def canonical(df: DataFrame, mapping: Mapping, side: str) -> list[Column]:
     """Canonical texts of the compare columns."""
     return [
-        norm(F.col(f"`{c.on(side)}`"), c.kind, c.date_format, df.schema[c.on(side)].dataType)
+        norm_value(F.col(f"`{c.on(side)}`"), c.kind, c.date_format, df.schema[c.on(side)].dataType, mapping.unfit)
         for c in mapping.compare
     ]
 

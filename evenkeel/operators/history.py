@@ -13,7 +13,7 @@ from ..functions.lenient import lenient_int
 
 STAGES = ["validation", "reconciliation", "revalidation"]
 
-# Prices of a run.
+# Prices of a run, which ``run_cost`` takes as defaults.
 PRICE_PER_HOUR = 0.44
 ORCHESTRATION_FEE = 8 * 0.000025
 NOTIFICATION_FEE = 0.0000005
@@ -212,7 +212,13 @@ def closure_issues(stages: DataFrame) -> DataFrame:
     )
 
 
-def run_cost(job_runs: DataFrame) -> DataFrame:
+def run_cost(
+    job_runs: DataFrame,
+    *,
+    price_per_hour: float = PRICE_PER_HOUR,
+    orchestration_fee: float = ORCHESTRATION_FEE,
+    notification_fee: float = NOTIFICATION_FEE,
+) -> DataFrame:
     """Duration and cost per execution from job_runs (execution_id, dpu_seconds, started, ended)."""
     totals = job_runs.groupBy("execution_id").agg(
         F.min("started").alias("start_time"),
@@ -220,16 +226,16 @@ def run_cost(job_runs: DataFrame) -> DataFrame:
         F.sum(lenient_int(F.col("dpu_seconds"))).alias("dpu_seconds"),
     )
     seconds = F.unix_timestamp("end_time") - F.unix_timestamp("start_time")
-    compute = F.col("dpu_seconds").cast("double") / 3600.0 * PRICE_PER_HOUR
+    compute = F.col("dpu_seconds").cast("double") / 3600.0 * price_per_hour
     return totals.select(
         "execution_id",
         "start_time",
         "end_time",
         seconds.alias("duration_sec"),
         compute.alias("compute_cost"),
-        F.lit(ORCHESTRATION_FEE).alias("orchestration_cost"),
-        F.lit(NOTIFICATION_FEE).alias("notification_cost"),
-        (compute + F.lit(ORCHESTRATION_FEE) + F.lit(NOTIFICATION_FEE)).alias("total_cost"),
+        F.lit(orchestration_fee).alias("orchestration_cost"),
+        F.lit(notification_fee).alias("notification_cost"),
+        (compute + F.lit(orchestration_fee) + F.lit(notification_fee)).alias("total_cost"),
     )
 
 

@@ -51,7 +51,7 @@ class _Row:
         right = plain(F.col("tgt").getField(c.target), other)
         own = T.StringType() if isinstance(own, (T.StructType, T.ArrayType, T.MapType)) else own
         other = T.StringType() if isinstance(other, (T.StructType, T.ArrayType, T.MapType)) else other
-        return differs(left, right, c.kind, c.date_format, own, other)
+        return differs(left, right, c.kind, c.date_format, own, other, self.mapping.unfit)
 
     def changed(self) -> Column:
         flags = [F.when(self.differs(c), F.lit(self.mapping.name(c))) for c in self.mapping.compare]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from ..functions.typed import typed
 from ..mapping import Mapping
 from ..operators import checks as C
 from ..operators import compare, drift
@@ -63,6 +64,7 @@ class Validation:
             ),
             gaps=mapping.gaps,
             names=mapping.names,
+            unfit=mapping.unfit,
         )
 
     @cached_property
@@ -102,7 +104,9 @@ class Validation:
                 if name not in df.columns:
                     sides.append(None)
                 elif self.drift_rule == "typed":
-                    sides.append(c.spark_type)
+                    # What the cast of this column really gives; nothing is computed for it.
+                    value = typed(F.col(f"`{name}`"), c.kind, c.date_format, df.schema[name].dataType)
+                    sides.append(df.select(value.alias("v")).schema["v"].dataType.simpleString())
                 else:
                     sides.append(df.schema[name].dataType.simpleString())
             rows.append(("", self.mapping.name(c), c.data_type, *sides))
