@@ -146,10 +146,10 @@ _RENAMED = {"price": "amount", "flag": "marker"}
 _KEY = "regexp_replace(lower(column_name), '[^a-z0-9]+', '', 'g')"
 _SIMILAR = f"""
 with cat as ({CATALOG}),
-k as (select *, {_KEY} as key from cat),
+k as materialized (select *, {_KEY} as key from cat),
 f as (select * from (select *, row_number() over (partition by pair, side, key
       order by ordinal, column_name) rn from k) where rn = 1),
-p as (select s.pair, s.key source_key, t.key target_key, s.column_name source_column,
+p as materialized (select s.pair, s.key source_key, t.key target_key, s.column_name source_column,
              t.column_name target_column, s.ordinal so, t.ordinal target_ordinal,
              case when greatest(length(s.key), length(t.key)) = 0 then 1.0 else
              1 - cast(levenshtein(s.key, t.key) as double) / greatest(length(s.key), length(t.key))
