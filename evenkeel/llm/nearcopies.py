@@ -8,11 +8,13 @@ its earliest point, so two registers agree with the probability of the weighted
 bags. A process stops once its time passes the latest register: most shingles cost a point or two.
 
 Signatures are banded; texts that share a band meet in a bucket, and their exact weighted Jaccard decides.
-Pairs whose bags are of too different sizes, or whose registers agree far too seldom, are not looked at.
-No bucket is expanded to all its pairs. In a round, some members (centres, one per hash slot) are compared
-with all members of their bucket; centres then leave it, buckets whose members are all connected are done,
-and the others go on with four times as many centres. So in the end any two members that no path connects
-have been compared, whatever the bucket's size, and a bucket of like texts takes one round.
+Two bounds that hold exactly rule pairs out before: the sizes of the bags, and an odd sketch, in which every
+element of a bag flips one bit, so that two sketches differ in at most as many bits as the bags in elements.
+No bucket is expanded to all its pairs. In a round, some members (centres, one per hash slot, a single one
+at first, those that most others share keys with before others) are compared with all members of their
+bucket; centres then leave it, buckets whose members are all connected are done, and the others go on with
+four times as many centres. So in the end any two members that no path connects have been compared,
+whatever the bucket's size, and a bucket of like texts takes one round.
 
 Texts that are equal are one class before all that. Defined results: a text of one to four words is one
 shingle; NULL texts and texts without a word have none (the latter are classed by equality, the former
@@ -23,7 +25,6 @@ of equal id and text are one; an empty table gives an empty table.
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -43,7 +44,8 @@ BANDS, ROWS = 36, 7
 _WORD = re.compile(f"[^{SPACE}]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _REMEMBERED = 400_000
-_DEVIATIONS = 5.5
+#: Bits of an odd sketch.
+SKETCH = 1024
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -83,6 +85,8 @@ class Shingles:
 def elements(windows: np.ndarray) -> np.ndarray:
     """A bag as a sorted set: the second and later windows of a kind become elements of their own."""
     windows = np.sort(windows)
+    if not len(windows):
+        return windows
     starts = np.flatnonzero(np.concatenate([[True], windows[1:] != windows[:-1]]))
     if len(starts) == len(windows):
         return windows
@@ -140,24 +144,21 @@ def band_keys(registers: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.astype(np.int64)
 
 
-def register_bits(registers: np.ndarray) -> np.ndarray:
-    """One bit of every register, 64 to a number."""
-    bits = (_mixed(registers.view(np.uint64)) & np.uint64(1)).astype(np.uint8)
-    return np.packbits(np.pad(bits, ((0, 0), (0, -bits.shape[1] % 64))), axis=1).view(np.int64)
+def odd_sketch(elements: np.ndarray) -> np.ndarray:
+    """SKETCH bits, 64 to a number; every element flips the one that its hash names."""
+    flips = np.bincount((elements >> np.uint64(20)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
 
 
-def promising(x: Column, y: Column, least: float, size: int) -> Column:
-    """Whether the register bits of two texts agree as often as those of texts similar enough do.
+def possible(x: Column, y: Column, sizes: Column, least: float) -> Column:
+    """Whether two bags of this many elements together can be similar enough, by their sketches.
 
-    Bits agree with probability (1 + similarity) / 2. The bound lies 5.5 standard deviations below the mean at
-    the least similarity: of 252 registers it loses about 4 in 10 million such pairs, which is nothing beside what
-    the bands lose, while texts that merely share a passage seldom pass."""
-    p = (1 + least) / 2
-    bound = math.floor(size * (1 - p) + _DEVIATIONS * math.sqrt(size * p * (1 - p)))
+    Of bags of together n elements at similarity s, (1 - s) / (1 + s) of n are in one bag only, and sketches
+    never differ in more bits than that. So no similar pair is lost."""
     unlike = F.lit(0)
-    for k in range(-(-size // 64)):
+    for k in range(SKETCH // 64):
         unlike = unlike + F.bit_count(x.getItem(k).bitwiseXOR(y.getItem(k)))
-    return unlike <= bound
+    return unlike <= sizes * F.lit((1 - least) / (1 + least)) + F.lit(1e-6)
 
 
 def text_key(docs: DataFrame) -> Column:
@@ -168,7 +169,7 @@ def text_key(docs: DataFrame) -> Column:
 
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id, text_key, keys, windows, bits): the band keys of every text, texts without a word have none, and the size
-    of its bag and one bit of every register, packed into longs."""
+    and the odd sketch of its bag."""
     kept = docs.select(F.col("doc_id").cast("long").alias("id"), text_key(docs).alias("text_key"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,9 +177,11 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
         for batch in batches:
             at = 0
             while at < batch.num_rows:
-                bags, start, total = [], at, 0
+                bags, sketches, start, total = [], [], at, 0
                 while at < batch.num_rows and total < 400_000 and at - start < 4096:
-                    bags.append(shingles.bag(batch.column(2)[at].as_py()))
+                    whole = shingles(batch.column(2)[at].as_py())
+                    bags.append(np.unique(whole, return_counts=True))
+                    sketches.append(odd_sketch(elements(whole)))
                     total += len(bags[-1][0])
                     at += 1
                 sizes = np.array([len(h) for h, _ in bags])
@@ -189,7 +192,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                     len(bags), bands * rows,
                 )
                 keys = band_keys(found, bands, rows)[sizes > 0]
-                bits = register_bits(found)
+                bits = np.stack(sketches)
                 offsets = np.concatenate([[0], np.cumsum(np.where(sizes > 0, bands, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(bags)), batch.column(1).slice(start, len(bags)),
@@ -240,33 +243,36 @@ def verified(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def linked(sigs: DataFrame, docs: DataFrame, least: float, registers: int) -> DataFrame | None:
+def linked(sigs: DataFrame, docs: DataFrame, least: float) -> DataFrame | None:
     """(id, label): components of the verified links between texts that share a band.
 
     Ids are those of the signatures, one for each text, and belong to the rows of its (doc_id, text_key)."""
     with stored(docs.sparkSession) as keep:
-        found = _rounds(sigs, docs, least, registers, keep)
+        found = _rounds(sigs, docs, least, keep)
         return None if found is None else cut(found)
 
 
 def _rounds(
-    sigs: DataFrame, docs: DataFrame, least: float, registers: int, keep: Callable[[DataFrame], DataFrame]
+    sigs: DataFrame, docs: DataFrame, least: float, keep: Callable[[DataFrame], DataFrame]
 ) -> DataFrame | None:
-    keys = sigs.select(F.explode("keys").alias("key"), "id", "windows", "bits")
-    shared = keep(keys.groupBy("key").count().filter("count > 1").select("key"))
+    keys = sigs.select(F.explode("keys").alias("key"), "id")
+    shared = keep(keys.groupBy("key").count().filter("count > 1"))
     members = keep(keys.join(shared, "key"))
     if members.isEmpty():
         return None
-    compared = keep(members.select("id").distinct())
-    names = sigs.select("id", "doc_id", "text_key").join(compared, "id", "left_semi")
+    # What a comparison needs of a text: its size, its sketch and how many others it meets.
+    company = members.groupBy("id").agg(F.sum("count").alias("company"))
+    compared = keep(sigs.drop("keys").join(company, "id"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(docs).alias("text_key"), "text")
+    names = compared.select("id", "doc_id", "text_key")
     bags = keep(bagged(texts.join(names, ["doc_id", "text_key"]).select("id", "text").dropDuplicates(["id"])))
-    labels, tried = compared.withColumn("label", F.col("id")), None
-    slots, opened = 2, members.withColumn("label", F.col("id"))
+    labels = compared.select("id", F.col("id").alias("label"))
+    info = compared.select("id", "windows", "bits", "company")
+    slots, opened = 1, keep(members.select("key", "id").join(info, "id").withColumn("label", F.col("id")))
     while True:
         slot = F.pmod(F.xxhash64(F.lit(slots), "id"), F.lit(slots))
-        least_id = F.min(F.struct("id", "windows", "bits", "label")).alias("c")
-        centres = opened.groupBy("key", slot.alias("slot")).agg(least_id)
+        first = F.min(F.struct((-F.col("company")).alias("order"), "id", "windows", "bits", "label")).alias("c")
+        centres = opened.groupBy("key", slot.alias("slot")).agg(first)
         centres = keep(centres.select(
             "key", F.col("c.id").alias("centre"), F.col("c.windows").alias("size"),
             F.col("c.bits").alias("marks"), F.col("c.label").alias("of"),
@@ -274,10 +280,8 @@ def _rounds(
         # Bags whose sizes differ too much are not similar, whatever they hold.
         sizes = F.least("windows", "size") >= F.lit(least - 1e-9) * F.greatest("windows", "size")
         pairs = opened.join(centres, "key").filter("label != of").filter(sizes)
-        pairs = pairs.filter(promising(F.col("bits"), F.col("marks"), least, registers))
-        pairs = pairs.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
-        pairs = keep(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        tried = pairs if tried is None else tried.unionByName(pairs)
+        pairs = pairs.filter(possible(F.col("bits"), F.col("marks"), F.col("windows") + F.col("size"), least))
+        pairs = keep(pairs.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct())
         labels = _joined(labels, keep(verified(pairs, bags, least)), keep)
         rest = opened.drop("label").join(
             centres.select("key", F.col("centre").alias("id")), ["key", "id"], "left_anti"
@@ -311,12 +315,13 @@ def _leaders(docs: DataFrame, least: float, bands: int, rows: int) -> tuple[Data
     apart = cut(apart.select(
         F.monotonically_increasing_id().alias("id"), F.col("id").alias("doc_id"), "text_key", "keys", "windows", "bits"
     ))
-    labels = linked(apart, docs, least, bands * rows)
+    labels = linked(apart, docs, least)
     if labels is None:
         named = firsts.select("text_key", F.col("id").alias("class_id"), F.col("text_key").alias("class_key"))
     else:
         found = cut(apart.select("id", "doc_id", "text_key").join(labels, "id"))
-        first = found.groupBy("label").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+        # Stored, so that the join reads plain shuffles and a large class can be split.
+        first = cut(found.groupBy("label").agg(F.min(F.struct("doc_id", "text_key")).alias("first")))
         found = found.join(first, "label").select("text_key", "first")
         named = firsts.join(found, "text_key", "left").select(
             "text_key", F.coalesce("first.doc_id", "id").alias("class_id"),

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from evenkeel.llm import boilerplate, components, nearcopies, passages, suffixes
 
@@ -198,16 +199,6 @@ def test_elements_keep_weighted_similarity():
     assert nearcopies.similarity(nearcopies.elements(none), nearcopies.elements(none)) == 0.0
 
 
-def test_register_bits_agree_with_the_registers():
-    rng = np.random.default_rng(3)
-    one = rng.random((1, 252))
-    other = np.where(rng.random((1, 252)) < 0.5, one, rng.random((1, 252)))
-    x, y = nearcopies.register_bits(one)[0], nearcopies.register_bits(other)[0]
-    unlike = sum(bin(int(i) & (2**64 - 1)).count("1") for i in x ^ y)
-    assert len(x) == 4 and unlike <= int((one != other).sum())
-    assert (nearcopies.register_bits(one) == nearcopies.register_bits(one.copy())).all()
-
-
 def test_registers_do_not_depend_on_the_batch():
     r = np.random.default_rng(7)
     sizes = np.array([1, 2, 3, 5, 9, 30, 120, 800, *r.integers(1, 4000, 120)])
@@ -234,3 +225,20 @@ def test_different_texts_of_one_id_are_texts_of_their_own(spark):
     assert kept == sorted([(1, one), (1, other), (4, third), (4, None)], key=str)
     twins = spark.createDataFrame([(7, one), (7, near(one))], "doc_id long, text string")
     assert nearcopies.keep_one(twins).count() == 1
+
+
+def test_odd_sketches_never_rule_out_a_similar_pair(spark):
+    r = np.random.default_rng(4)
+    pairs = []
+    for _ in range(400):
+        n = int(r.integers(1, 3000))
+        a = r.integers(0, 2**63, n).astype(np.uint64)
+        change = int(r.integers(0, max(1, n // 3)))
+        b = np.concatenate([a[change:], r.integers(0, 2**63, int(r.integers(0, change + 1))).astype(np.uint64)])
+        a, b = nearcopies.elements(a), nearcopies.elements(b)
+        x, y = nearcopies.odd_sketch(a), nearcopies.odd_sketch(b)
+        pairs.append((nearcopies.similarity(a, b), len(a) + len(b), x.tolist(), y.tolist()))
+    frame = spark.createDataFrame(pairs, "s double, n long, x array<long>, y array<long>")
+    kept = frame.withColumn("kept", nearcopies.possible(F.col("x"), F.col("y"), F.col("n"), 0.8)).collect()
+    assert all(k.kept for k in kept if k.s >= 0.8) and sum(k.s >= 0.8 for k in kept) > 50
+    assert sum(not k.kept for k in kept if k.s < 0.7 and k.n < 2500) > 0.9 * sum(k.s < 0.7 and k.n < 2500 for k in kept) > 20
