@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 # The following are fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -35,6 +36,7 @@ _TOKEN = re.compile(
     r"|<[a-zA-Z/!?][^>]*+(?:>|\Z)",
     re.S,
 )
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in RAW}
 _ATTR = re.compile(r"(?:class|id|role|itemprop|aria-label|data-role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -77,7 +79,13 @@ def parse(page: str | None) -> Tree:
         return tree
     tags, parent, depth, attrs, texts = tree.tags, tree.parent, tree.depth, tree.attrs, tree.texts
     stack, at, end, broken = [0], 0, len(page), True
-    low = None
+    # How many elements of a tag are open, so that an end tag without one costs no look at the stack.
+    opened: Counter[str] = Counter()
+
+    def close(k: int) -> None:
+        opened.subtract(tags[e] for e in stack[k:])
+        del stack[k:]
+
     while at < end:
         m = _TOKEN.search(page, at)
         stop = m.start() if m else end
@@ -94,42 +102,39 @@ def parse(page: str | None) -> Tree:
         if name not in INLINE:
             broken = True
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if tags[stack[k]] == name:
-                    del stack[k:]
-                    break
+            if opened[name]:
+                close(next(k for k in range(len(stack) - 1, 0, -1) if tags[stack[k]] == name))
             continue
-        if name in CLOSES_P:
+        if name in CLOSES_P and opened["p"]:
             for k in range(len(stack) - 1, 0, -1):
                 if tags[stack[k]] == "p":
-                    del stack[k:]
+                    close(k)
                     break
                 if tags[stack[k]] in CLOSES_P or tags[stack[k]] in ("td", "th", "li"):
                     break
-        elif name in _ENDS:
+        elif name in _ENDS and any(opened[t] for t in _ENDS[name][0]):
             ended, scope = _ENDS[name]
             for k in range(len(stack) - 1, 0, -1):
                 if tags[stack[k]] in scope:
                     break
                 if tags[stack[k]] in ended:
-                    del stack[k:]
+                    close(k)
                     break
         tags.append(name)
         parent.append(stack[-1])
         depth.append(depth[stack[-1]] + 1)
         attrs.append(attr_words(rest) if rest else ())
         if name in RAW:
-            low = page.lower() if low is None else low
-            close = low.find(f"</{name}", at) if len(low) == end else page.find(f"</{name}", at)
-            stop = close if close >= 0 else end
+            # Only the name itself ends it, in any case: "</scripts" does not.
+            ending = _RAW_END[name].search(page, at)
+            stop = ending.start() if ending else end
             if stop > at:
                 texts.append((len(tags) - 1, page[at:stop], True))
             mark = page.find(">", stop)
-            at = mark + 1 if close >= 0 and mark >= 0 else end
-        elif name not in VOID and not rest.rstrip().endswith("/"):
+            at = mark + 1 if ending and mark >= 0 else end
+        elif name not in VOID:  # a slash ends nothing in HTML
             stack.append(len(tags) - 1)
-        elif rest.rstrip().endswith("/") and name not in VOID:
-            stack.append(len(tags) - 1)  # a slash ends nothing in HTML
+            opened[name] += 1
     return tree
 
 

@@ -103,3 +103,18 @@ def test_fresh_pages_of_the_grammar():
         plain = made.replace("\x01", "").replace("\x02", "")
         good += maintext.texts([plain], model)[0] == dom.join_texts(tree, [True, *kept[1:]])
     assert good >= 45
+
+
+def test_raw_elements_end_at_their_own_tag_in_any_case():
+    tree = dom.parse("<p>İ</p><SCRIPT>x('</scripts>', '</p>')</ScRiPt ><p>behind</p><style>a{}</STYLE/><p>last</p><script>open")
+    assert [(tree.tags[k], text) for k, text, _ in tree.texts] == [
+        ("p", "İ"), ("script", "x('</scripts>', '</p>')"), ("p", "behind"), ("style", "a{}"), ("p", "last"), ("script", "open"),
+    ]
+
+
+def test_deep_pages_with_unmatched_end_tags_take_linear_time():
+    import time
+
+    n, start = 100_000, time.process_time()
+    tree = dom.parse("<div>" * n + "</x></p></li>" * n + "<p>text")
+    assert time.process_time() - start < 2 and len(tree.tags) == n + 2
