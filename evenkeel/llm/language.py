@@ -9,8 +9,8 @@ Fitting uses a bounded sample: about ``fit_docs`` documents of each language, ch
 Labels are ``lang`` of documents that are not held out; nothing but the text enters a prediction.
 
 Defined results: NULL text and text without a letter is ``und`` with score 0; equal posteriors go to the
-least language name; words over ``SLICE`` characters are scored in slices of that length, so that a word
-of any length counts whole; repeated rows get equal results; without labelled documents all is ``und``.
+least language name; a word of any length is summed over all its segmentations; repeated rows get equal results;
+without labelled documents all is ``und``.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 
 from .common import cut, fresh
 
-SLICE = 32
+#: Words up to this length, mark included, are summed many at a time, longer ones one by one with rescaled sums.
+SHORT = 32
 LEAST = 1e-9
 SMOOTH = 0.05
 #: Distinct words remembered by a Python worker.
@@ -47,7 +48,7 @@ def _pieces(model: bytes) -> dict[str, int]:
     found = {}
     for i in range(sp.get_piece_size()):
         piece = sp.id_to_piece(i)
-        if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)) and len(piece) <= SLICE:
+        if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)):
             found[piece] = len(found)
     return found
 
@@ -67,11 +68,11 @@ def words_of(text: str | None) -> list[str]:
     return found if any(c.isalpha() for w in found for c in w) else []
 
 
-def _edges(slices: list[str], pieces: dict[str, int], unknown: int) -> tuple[np.ndarray, ...]:
-    """All pieces in all slices: slice, start, end, piece. A character that is no piece has the number ``unknown``."""
+def _edges(words: list[str], pieces: dict[str, int], unknown: int) -> tuple[np.ndarray, ...]:
+    """All pieces in all words: word, start, end, piece. A character that is no piece has the number ``unknown``."""
     own, starts, ends, ids = [], [], [], []
     get = pieces.get
-    for k, s in enumerate(slices):
+    for k, s in enumerate(words):
         n = len(s)
         for i in range(n):
             for j in range(i + 1, n + 1):
@@ -93,62 +94,84 @@ def _edges(slices: list[str], pieces: dict[str, int], unknown: int) -> tuple[np.
 
 
 def _forward(n: int, edges: tuple[np.ndarray, ...], probs: np.ndarray, back: bool = False) -> np.ndarray:
-    """Sums over all segmentations up to (back: from) each position: [slice, position, language]."""
+    """Sums over all segmentations up to (back: from) each position: [word, position, language]."""
     own, starts, ends, ids = edges
     at, other = (starts, ends) if back else (ends, starts)
     lengths = np.zeros(n, np.int64)
     np.maximum.at(lengths, own, ends)
-    total = np.zeros((n, SLICE + 1, probs.shape[1]))
+    total = np.zeros((n, SHORT + 1, probs.shape[1]))
     total[np.arange(n), lengths if back else 0] = 1.0
     order = np.argsort(at, kind="stable")
-    bounds = np.searchsorted(at[order], np.arange(SLICE + 2))
-    for p in range(SLICE, -1, -1) if back else range(SLICE + 1):
+    bounds = np.searchsorted(at[order], np.arange(SHORT + 2))
+    for p in range(SHORT, -1, -1) if back else range(SHORT + 1):
         e = order[bounds[p] : bounds[p + 1]]
         if len(e):
-            # Edges of a slice stand together, and all that end here are known.
+            # Edges of a word stand together, and all that end here are known.
             o = own[e]
             first = np.flatnonzero(np.append(True, o[1:] != o[:-1]))
             total[o[first], p] = np.add.reduceat(total[o, other[e]] * probs[ids[e]], first, axis=0)
     return total
 
 
-def _sliced(words: list[str]) -> tuple[list[str], np.ndarray]:
-    slices, owner = [], []
-    for k, w in enumerate(words):
-        marked = _START + w
-        for i in range(0, len(marked), SLICE):
-            slices.append(marked[i : i + SLICE])
-            owner.append(k)
-    return slices, np.array(owner, np.int64)
+def _long_sums(word: str, pieces: dict[str, int], probs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(starts, ends, pieces of the edges; logs of the sums up to and from every position) of one long word.
+
+    Logs are kept, so that no length makes the sums vanish."""
+    _, starts, ends, ids = _edges([word], pieces, len(probs) - 1)
+    n, langs = len(word), probs.shape[1]
+    found = []
+    for at, other, positions in ((ends, starts, range(1, n + 1)), (starts, ends, range(n - 1, -1, -1))):
+        logs = np.zeros((n + 1, langs))
+        order = np.argsort(at, kind="stable")
+        bounds = np.searchsorted(at[order], np.arange(n + 2))
+        for p in positions:
+            e = order[bounds[p] : bounds[p + 1]]
+            before = logs[other[e]]
+            top = before.max(0)
+            logs[p] = top + np.log((np.exp(before - top) * probs[ids[e]]).sum(0))
+        found.append(logs)
+    return starts, ends, ids, *found
+
+
+def _dealt(words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The words with their mark, and which are short and long."""
+    marked = [_START + w for w in words]
+    sizes = np.array([len(w) for w in marked], np.int64)
+    return marked, np.flatnonzero(sizes <= SHORT), np.flatnonzero(sizes > SHORT)
 
 
 def word_scores(words: list[str], pieces: dict[str, int], probs: np.ndarray) -> np.ndarray:
     """Log likelihood of each word in each language; ``pieces`` with their beginnings."""
-    slices, owner = _sliced(words)
+    marked, short, long = _dealt(words)
     total = np.zeros((len(words), probs.shape[1]))
     step = 4096
-    for a in range(0, len(slices), step):
-        part = slices[a : a + step]
+    for a in range(0, len(short), step):
+        part = [marked[k] for k in short[a : a + step]]
         sums = _forward(len(part), _edges(part, pieces, len(probs) - 1), probs)
-        last = sums[np.arange(len(part)), [len(s) for s in part]]
-        np.add.at(total, owner[a : a + step], np.log(last))
+        total[short[a : a + step]] = np.log(sums[np.arange(len(part)), [len(s) for s in part]])
+    for k in long:
+        total[k] = _long_sums(marked[k], pieces, probs)[3][-1]
     return total
 
 
 def expected(counts: dict[str, np.ndarray], pieces: dict[str, int], probs: np.ndarray) -> np.ndarray:
     """Expected uses of each piece in each language over all segmentations of the counted words."""
-    slices, owner = _sliced(list(counts))
-    weights = np.array(list(counts.values()))[owner] if counts else np.zeros((0, probs.shape[1]))
+    marked, short, long = _dealt(list(counts))
+    weights = np.array(list(counts.values())) if counts else np.zeros((0, probs.shape[1]))
     found = np.zeros_like(probs)
     step = 4096
-    for a in range(0, len(slices), step):
-        part = slices[a : a + step]
+    for a in range(0, len(short), step):
+        part = [marked[k] for k in short[a : a + step]]
         edges = _edges(part, pieces, len(probs) - 1)
         own, starts, ends, ids = edges
         ahead, behind = _forward(len(part), edges, probs), _forward(len(part), edges, probs, back=True)
         whole = behind[:, 0]
         share = ahead[own, starts] * probs[ids] * behind[own, ends] / whole[own]
-        np.add.at(found, ids, share * weights[a : a + step][own])
+        np.add.at(found, ids, share * weights[short[a : a + step]][own])
+    for k in long:
+        starts, ends, ids, ahead, behind = _long_sums(marked[k], pieces, probs)
+        share = np.exp(ahead[starts] + behind[ends] - behind[0]) * probs[ids]
+        np.add.at(found, ids, share * weights[k])
     return found
 
 

@@ -147,3 +147,34 @@ def test_language_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count()
     unlabelled = docs.selectExpr("doc_id", "text", "cast(null as string) lang")
     assert language.fit(unlabelled, public_tokenizers.path(queries.VOCABULARY)).predict("the text") == ("und", 0.0)
+
+
+def test_words_of_any_length_are_summed_whole():
+    pieces = {"▁": 0, "a": 1, "b": 2, "ab": 3, "▁a": 4, "bab": 5}
+    probs = np.array([[0.1, 0.2], [0.2, 0.1], [0.3, 0.1], [0.15, 0.2], [0.2, 0.3], [0.05, 0.1], [1e-6, 1e-6]])
+
+    def plain(word, k):
+        # In whole numbers of 2 ** -1074 the sums of long words would vanish, so fractions are used.
+        from fractions import Fraction
+
+        sums = [Fraction(1)]
+        for j in range(1, len(word) + 1):
+            ways = [sums[j - len(p)] * Fraction(probs[i, k]) for p, i in pieces.items() if word[:j].endswith(p)]
+            if word[j - 1] not in pieces:
+                ways.append(sums[j - 1] * Fraction(probs[-1, k]))
+            sums.append(sum(ways, Fraction(0)))
+        return float(sums[-1].numerator.bit_length() - sums[-1].denominator.bit_length()), sums[-1]
+
+    words = ["ab", "ab" * 15 + "b", "ab" * 16, "abbab" * 100, "a" * 31 + "c" + "bab" * 40]
+    scores = language.word_scores(words, language.starts_of(pieces), probs)
+    for word, row in zip(words, scores, strict=True):
+        for k in (0, 1):
+            _, exact = plain("▁" + word, k)
+            shift = exact.denominator.bit_length() - exact.numerator.bit_length()
+            wanted = np.log(float(exact * 2**shift)) - shift * np.log(2)
+            assert abs(row[k] - wanted) < 1e-9 * abs(wanted) + 1e-9
+    counts = {w: np.array([2.0, 1.0]) for w in words}
+    uses = language.expected(counts, language.starts_of(pieces), probs)
+    lengths = np.array([len(p) for p in pieces] + [1])
+    covered = sum(len(w) + 1 for w in words)
+    assert np.allclose((uses * lengths[:, None]).sum(0), [2 * covered, covered])
