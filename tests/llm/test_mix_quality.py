@@ -62,3 +62,27 @@ def test_quality_counts_equal_brute_force(spark):
         assert not (r.kept and r.base_failed)
     assert found[9].kept and found[None].kept
     assert quality.judge(docs.limit(0)).count() == 0
+
+
+def test_one_source_and_equal_sources(spark):
+    rows = [(i, "a b c", "only") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for options in ({"target": "entropy", "value": 0.9}, {"value": 2.0}, {"target": "entropy", "value": 1.0, "share": 1.0}):
+        assert sorted(r.doc_id for r in mixing.mix(docs, **options).collect()) == [0, 1, 2, 3, 4]
+    equal = docs.unionByName(docs.selectExpr("doc_id + 10 doc_id", "text", "'other' source"))
+    assert mixing.mix(equal, target="entropy", value=1.0).count() == 10
+    half = mixing.mix(equal, value=1.5, share=0.5).collect()
+    assert 15 <= sum(r.n_tokens for r in half) <= 21
+    with pytest.raises(ValueError):
+        mixing.mix(docs, budget=3, share=0.5)
+
+
+def test_the_exponent_lies_between(spark):
+    """Under the limit of the query the exponent is found by bisection: neither equal weights nor plain shares."""
+    from evenkeel.llm.queries import REPEATS
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    tokens = docs.selectExpr("source", "size(split(trim(text), '[ \\t\\n\\r]+')) n").groupBy("source").agg({"n": "sum"}).collect()
+    total = sum(r[1] for r in tokens)
+    sources = spark.createDataFrame([(r[1], total) for r in tokens], "tokens long, all_tokens long")
+    assert 0.1 < mixing.solve(sources, target="repeats", value=REPEATS) < 0.9
