@@ -11,8 +11,8 @@ hashed one by one and their first starts found by aggregation, which splits at a
 Earlier means a smaller doc_id or, in the same document, a lesser start; windows never cross documents.
 
 Defined results: NULL text counts as empty; a text shorter than the width keeps all; a NULL id comes before
-every other; of rows with one id and different texts only the least text is examined, the others stay
-whole; equal rows get equal results; an empty table gives an empty table.
+every other; different texts of one id are texts of their own, in the order of the texts; rows of equal id and
+text are one text and get equal results; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -114,6 +114,11 @@ def _located(docs: DataFrame, width: int, k: int) -> DataFrame:
             again[order[1:]] = ctx[order[1:]] == ctx[order[:-1]]
             own = mixed(mixed(doc.view(np.uint64)) + s.astype(np.uint64)).view(np.int64)
             key, mark = np.where(again, own, key), np.where(again, 2, loops).astype(np.int8)
+            # Settled contexts of a text that touch are one span.
+            doc, s, n, key, ctx, mark = (
+                np.concatenate([x[~again], y])
+                for x, y in zip((doc, s, n, key, ctx, mark), _spans(*(x[again] for x in (doc, s, n, key, ctx, mark))), strict=True)
+            )
             for a in range(0, len(s), 200_000):
                 b = a + 200_000
                 yield pa.RecordBatch.from_arrays(
@@ -124,6 +129,20 @@ def _located(docs: DataFrame, width: int, k: int) -> DataFrame:
     return docs.mapInArrow(run, "doc long, s long, n long, key long, ctx long, mark byte")
 
 
+def _spans(doc: np.ndarray, s: np.ndarray, n: np.ndarray, *rest: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The rows with spans of a document that overlap or touch made one; the rest is that of its first."""
+    order = np.lexsort((s, doc))
+    doc, s, n, *rest = (x[order] for x in (doc, s, n, *rest))
+    if not len(doc):
+        return doc, s, n, *rest
+    # Documents laid behind one another, so that the furthest end so far is that of the same document.
+    base = np.cumsum(np.append(0, doc[1:] != doc[:-1])) << 40
+    reach = np.maximum.accumulate(base + s + n)
+    first = np.flatnonzero(np.append(True, (base + s)[1:] > reach[:-1]))
+    last = np.append(first[1:], len(doc)) - 1
+    return doc[first], s[first], (reach[last] - base[last]) - s[first], *(x[first] for x in rest)
+
+
 def _compared(located: DataFrame) -> DataFrame:
     """(doc, s, n, key, first): repeats of an equal context, and first ones that may share a window.
 
@@ -265,14 +284,17 @@ def remove(docs: DataFrame, **settings) -> DataFrame:
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE).cast("long"))
     rows = docs.select("doc_id", doc.alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     examined = rows.select("doc", "text")
-    several = not examined.groupBy("doc").count().filter("count > 1").isEmpty()
-    if several:
-        examined = cut(examined.groupBy("doc").agg(F.min("text").alias("text")))
+    if not examined.groupBy("doc").count().filter("count > 1").isEmpty():
+        # Numbers that grow with id and text stand for the texts; they hold once the rows are stored.
+        known = F.md5("text").alias("known")
+        apart = examined.select("doc", "text", known).dropDuplicates(["doc", "known"])
+        apart = apart.repartitionByRange("doc", "text").sortWithinPartitions("doc", "text")
+        apart = cut(apart.withColumn("number", F.monotonically_increasing_id()))
+        examined = apart.select(F.col("number").alias("doc"), "text")
+        rows = rows.withColumn("known", known).join(apart.select("doc", "known", "number"), ["doc", "known"])
+        rows = rows.select("doc_id", F.col("number").alias("doc"), "text")
     spans = repeated_spans(examined, **settings).groupBy("doc").agg(F.collect_list(F.struct("s", "n")).alias("spans"))
     joined = rows.join(spans, "doc", "left")
-    if several:
-        least = examined.select("doc", F.md5("text").alias("examined"))
-        joined = joined.join(least, "doc").withColumn("spans", F.when(F.md5("text") == F.col("examined"), F.col("spans")))
     kept = joined.select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

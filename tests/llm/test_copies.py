@@ -84,8 +84,12 @@ def test_passages_with_equal_ids_and_none(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = sorted((r.doc_id or 0, r.n_bytes, len(r.kept)) for r in passages.remove(docs).collect())
     n = len(text)
-    assert found == [(0, n, n), (1, n, 0), (1, n, 0), (1, n + 1, n + 1), (2, n, 0)]
+    assert found == [(0, n, n), (1, n, 0), (1, n, 0), (1, n + 1, 1), (2, n, 0)]
     assert passages.remove(docs.limit(0)).count() == 0
+    # Every text of an id counts, in the order of the texts.
+    rows = [(1, "b" * 150), (1, "a" * 150), (2, "b" * 150), (3, "a" * 99 + "c" + "b" * 120), (1, "a" * 150)]
+    found = passages.remove(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, bytes(r.kept)) for r in found) == [(1, b"a"), (1, b"a"), (1, b"b"), (2, b""), (3, b"a" * 99 + b"c")]
 
 
 def bag(text):
