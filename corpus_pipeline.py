@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.llm import boilerplate, bpe, language, mixing, nearcopies
 from evenkeel.llm.common import scratch, table
+from evenkeel.llm.queries import REPEATS
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return mixing.mix(docs, value=REPEATS).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
