@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -105,7 +106,8 @@ class Words:
     def __init__(self, text: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks fill the cores
         self.tokenizer = Tokenizer.from_str(text)
-        self.known: dict[str, bytes] = {}
+        self.tokenizer_model = self.tokenizer.model
+        self.known = _Known(self._found)
         self.stems: dict[str, bytes] = {}
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [c for c in map(chr, range(ord(_PLAIN))) if c.isalpha()]
@@ -116,31 +118,27 @@ class Words:
 
     def _whole(self, words: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encoded]
+        return [array("I", e.ids).tobytes() for e in encoded]
 
     def _plain(self, word: str) -> bytes | None:
         """The ids of a word of plain letters and perhaps a mark, else None."""
         mark = b""
         if word[-1] in self.marks and len(word) > 1:
             word, mark = word[:-1], self.marks[word[-1]]
-        if not word.isalpha() or max(word) >= _PLAIN:
+        # ASCII letters are spelled as they are.
+        ascii_ = word.isascii()
+        if not word.isalpha() or not (ascii_ or max(word) < _PLAIN):
             return None
         stem = word.lower()
         found = self.stems.get(stem)
         if found is None:
-            ids = [t.id for t in self.tokenizer.model.tokenize(stem.translate(self.spelling))]
-            found = self.stems[stem] = struct.pack(f"<{len(ids)}I", *ids)
-        return found + mark
-
-    def _learn(self, new: list[str]) -> None:
-        rest = new
-        if self.model is not None:
-            found = [(w, self._plain(w)) for w in new]
-            self.known.update((w, ids) for w, ids in found if ids is not None)
-            rest = [w for w, ids in found if ids is None]
-        for at in range(0, len(rest), 10_000):
-            part = rest[at : at + 10_000]
-            self.known.update(zip(part, self._whole(part), strict=True))
+            spelled = stem if ascii_ else stem.translate(self.spelling)
+            found = self.stems[stem] = array("I", [t.id for t in self.tokenizer_model.tokenize(spelled)]).tobytes()
+        return found + mark if mark else found
+
+    def _found(self, word: str) -> bytes:
+        plain = self._plain(word) if self.model is not None else None
+        return self._whole([word])[0] if plain is None else plain
 
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
@@ -148,17 +146,23 @@ class Words:
         if any(c in text for c in _ODD):
             whole = self.tokenizer.encode(text, add_special_tokens=False)
             return np.array(whole.ids, np.uint32)
-        words = text.split()
-        known = self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(words))
-            if len(self.stems) > REMEMBERED:
-                self.stems.clear()
-            self._learn(new)
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        if len(self.stems) > REMEMBERED:
+            self.stems.clear()
+        return np.frombuffer(b"".join(map(self.known.__getitem__, text.split())), "<u4")
+
+
+class _Known(dict):
+    """Ids of words, found out when a word is first asked for."""
+
+    def __init__(self, find: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, word: str) -> bytes:
+        found = self[word] = self.find(word)
+        return found
 
 
 @lru_cache(maxsize=2)
