@@ -217,3 +217,39 @@ def test_left_over_columns_of_a_mapping_are_matched_by_values(spark):
     }
     plain = generate_mapping(source, target)
     assert {r.match_type for r in plain.collect()} == {"one-to-one", "unmapped_source", "unmapped_target"}
+
+
+@pytest.mark.parametrize("measure", ["sequence", "levenshtein"])
+def test_narrow_and_wide_pairs_match_alike(spark, monkeypatch, measure):
+    """Pairs whose names are all compared give what the pieces of names give, wishes and odd rows included."""
+    draw = random.Random(5)
+    rows = [(None, "source", "lost", 1), (None, "target", "lost", 1), ("p0", "source", None, 1), ("p0", "other", "x", 1), ("p0", "source", "__", 2), ("p0", "target", "--", 3)]
+    wishes = [("p0", "__", "nothing"), (None, "lost", "lost"), ("p1", None, "odd")]
+    for pair, width in (("p0", 3), ("p1", 6), ("p2", 25)):
+        names = ["_".join(draw.choice(["order", "price", "customer", "total", "day"]) for _ in range(4)) for _ in range(width)]
+        for i, name in enumerate(names):
+            other = draw.choice([name.upper(), name + "s", name.replace("e", "", 1), f"zz{i}"])
+            rows += [(pair, "source", name, i), (pair, "target", other, None if i == 2 else i)] * draw.choice([1, 2])
+            wishes.append((pair, name, draw.choice([other, f"zz{i}", None, "none"])))
+    catalog = spark.createDataFrame(rows, "pair string, side string, column_name string, ordinal int")
+    overrides = spark.createDataFrame(wishes, "pair string, source_column string, target_column string")
+    found = []
+    for narrow in (256, 20, 0):
+        monkeypatch.setattr("evenkeel.operators.matching.NARROW", narrow)
+        names = similar_keys(keyed_names(catalog, "source"), keyed_names(catalog, "target"), measure)
+        found.append((values(names), values(match_columns(catalog, overrides, measure=measure))))
+    assert found[0] == found[1] == found[2]
+    kinds = {r[3] for r in found[0][1]}
+    assert kinds == {"one-to-one", "override", "unmapped_source", "unmapped_target", "unmapped_other"}
+
+
+def test_names_of_narrow_pairs_are_not_cut_into_pieces(spark, tmp_path):
+    """What is exchanged grows with the columns, not with the pieces of their names."""
+    rows = [(f"p{i}", side, f"customer_order_total_{i}_{k}", k) for i in range(200) for side in ("source", "target") for k in range(3)]
+    spark.createDataFrame(rows, "pair string, side string, column_name string, ordinal int").write.parquet(str(tmp_path / "catalog"))
+    catalog = spark.read.parquet(str(tmp_path / "catalog"))
+    found = match_columns(catalog)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    plan = plan[: plan.index("== Initial Plan ==")]
+    assert "Generate explode" not in plan and "SortMergeJoin" not in plan
