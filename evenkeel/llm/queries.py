@@ -12,8 +12,9 @@ from . import (
 from .common import scratch, table
 
 VOCABULARY = "piece_bpe_32k.model"
-#: No source is repeated more than so often beside the least repeated one; the mix has this part of all tokens.
-REPEATS, SHARE = 1.3, 0.5
+#: No source is repeated more than so often beside the least repeated one; the mix has three times all tokens, so that
+#: every document is drawn in whole epochs and some in one more.
+REPEATS, SHARE = 1.3, 3.0
 
 
 def byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
