@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.save import settle
 from .small import small_frame
 
 
@@ -96,9 +97,13 @@ def orphan_values(tables: Dict[str, DataFrame], keys: list[ForeignKey]) -> DataF
 
 
 def orphan_rows(tables: Dict[str, DataFrame], keys: list[ForeignKey], name: str) -> DataFrame:
-    """The child rows of one constraint that have no parent, with all their columns."""
+    """The child rows of one constraint that have no parent, with all their columns.
+
+    The values without a parent are stored first: few are then known to be few and broadcast, and with many of them
+    the rows come straight from their shuffle, so that adaptive execution can split a value that most rows share.
+    """
     key = next(k for k in keys if k.name == name)
-    lost = _values(tables, [key]).filter("value is not null and not is_parent").select(F.col("value").alias("_value"))
+    lost = settle(_values(tables, [key]).filter("value is not null and not is_parent").select(F.col("value").alias("_value")))
     child = tables[key.child]
     return child.join(lost, _value(key.child_columns) == F.col("_value"), "left_semi")
 

@@ -140,3 +140,14 @@ def test_stored_repair_equals_the_repair(text, tmp_path, seed):
     P.repair_stored(path, source, MAPPING, parts=4)
     plan = repair.plan_repair(target, source, MAPPING)
     assert values(P.read_keyed(target.sparkSession, path)) == values(repair.repaired(plan))
+
+
+def test_rows_that_share_one_lost_value_stay_where_they_are(spark, tmp_path):
+    """Few values without a parent are broadcast: the child rows are neither shuffled nor sorted."""
+    spark.range(3000).selectExpr("id", "case when id % 3 = 0 then -1 when id % 7 = 0 then null else id % 50 end k").write.parquet(str(tmp_path / "child"))
+    spark.range(50).selectExpr("id k").write.parquet(str(tmp_path / "parent"))
+    tables = {t: spark.read.parquet(str(tmp_path / t)) for t in ("child", "parent")}
+    found = orphan_rows(tables, [ForeignKey("c", "child", ("k",), "parent", ("k",))], "c")
+    assert sorted(r.id for r in found.collect()) == list(range(0, 3000, 3))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
