@@ -86,3 +86,14 @@ def test_the_exponent_lies_between(spark):
     total = sum(r[1] for r in tokens)
     sources = spark.createDataFrame([(r[1], total) for r in tokens], "tokens long, all_tokens long")
     assert 0.1 < mixing.solve(sources, target="repeats", value=REPEATS) < 0.9
+
+
+def test_the_query_draws_every_document(spark, tmp_path):
+    from evenkeel.llm.queries import mixing_weights
+
+    rows = [(i, f"s{i % 4}", "word " * (20 + 10 * (i % 4) + i % 7)) for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    drawn = mixing_weights(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in drawn} == set(range(200))
+    words = sum(len(text.split()) for _, _, text in rows)
+    assert 3 * words <= sum(r.n_tokens for r in drawn) <= 3 * words + 4 * 60
