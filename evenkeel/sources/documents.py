@@ -18,11 +18,14 @@ from pyspark.sql import types as T
 _BLANK = " \t\r\ufeff"
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, place, line): lines that are not blank, with their place in the file."""
+def _lines(text: DataFrame) -> DataFrame:
+    """(file, place, line): lines that are not blank, with their place in the file.
+
+    ``text`` is the folder read as text. One such frame serves all passes, so that its files are listed once.
+    """
     # The number of a row in its partition grows along a split.
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return spark.read.text(path).select(
+    return text.select(
         F.col("_metadata.file_path").alias("file"),
         F.struct(F.col("_metadata.file_block_start").alias("start"), row.alias("row")).alias("place"),
         F.btrim("value", F.lit(_BLANK)).alias("line"),
@@ -34,17 +37,17 @@ def is_whole(text: Column) -> Column:
     return F.json_object_keys(text).isNotNull() | F.json_array_length(text).isNotNull()
 
 
-def layouts(spark: SparkSession, path: str) -> DataFrame:
+def layouts(text: DataFrame) -> DataFrame:
     """(file, by_line, begun): whether its first line is a record, or else at least begins a document."""
-    lines = _lines(spark, path).select("file", "place", is_whole(F.col("line")).alias("whole"), "line")
+    lines = _lines(text).select("file", "place", is_whole(F.col("line")).alias("whole"), "line")
     first = lines.groupBy("file").agg(F.min_by(F.struct("whole", F.left("line", F.lit(2)).alias("begin")), "place").alias("first"))
     begun = F.col("first.begin").startswith("[") | (F.col("first.begin") == "{")
     return first.select("file", F.col("first.whole").alias("by_line"), begun.alias("begun"))
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
+def records(text: DataFrame) -> DataFrame:
     """(record): every line of the files of lines, every other file as a whole."""
-    kinds, lines = layouts(spark, path).drop("begun"), _lines(spark, path)
+    kinds, lines = layouts(text).drop("begun"), _lines(text)
     by_line = lines.join(kinds.filter("by_line").select("file"), "file", "left_semi").select(F.col("line").alias("record"))
     whole = lines.join(kinds.filter("not by_line").select("file"), "file", "left_semi").groupBy("file").agg(
         F.sort_array(F.collect_list(F.struct("place", "line"))).alias("parts")
@@ -68,22 +71,33 @@ def schema_of(found: DataFrame) -> T.StructType:
     return T.StructType.fromDDL(text.removeprefix("STRUCT<").removesuffix(">")) if text != "STRUCT<>" else T.StructType()
 
 
-def read_documents(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The records of every file below the path as rows, whatever its layout.
+def schema_of_documents(spark: SparkSession, path: str) -> T.StructType:
+    """The schema that Spark's JSON reader infers where every file is one document.
+
+    Left to open many files itself, the reader hands the list of all of them to each; texts come without it.
+    """
+    whole = spark.read.text(path, wholetext=True).select(F.btrim("value", F.lit(_BLANK)).alias("document"))
+    return spark.read.json(whole.rdd.map(lambda r: r.document)).schema
+
+
+def read_documents(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, text: DataFrame | None = None
+) -> DataFrame:
+    """The records of every file below the path as rows, whatever its layout; ``text`` is the path read as text.
 
     A record that is no JSON gives a row of NULLs, as in other reads; an empty array gives none.
     """
-    found = records(spark, path)
+    found = records(spark.read.text(path) if text is None else text)
     schema = schema or schema_of(found)
     rows = found.select(F.from_json("record", T.ArrayType(schema)).alias("rows"))
     rows = rows.filter(F.col("rows").isNull() | (F.size("rows") > 0))
     return rows.select(F.explode_outer("rows").alias("row")).select("row.*")
 
 
-def documents_fail(spark: SparkSession, path: str) -> DataFrame:
+def documents_fail(text: DataFrame) -> DataFrame:
     """(file) of the files that are neither lines of records nor, as a whole, an object or array."""
-    kinds = layouts(spark, path).filter("not by_line and not begun")
-    lines = _lines(spark, path).join(kinds.select("file"), "file", "left_semi")
+    kinds = layouts(text).filter("not by_line and not begun")
+    lines = _lines(text).join(kinds.select("file"), "file", "left_semi")
     parts = lines.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("place", "line"))).alias("parts"))
     document = F.array_join(F.transform("parts", lambda p: p["line"]), "\n")
     return parts.filter(~is_whole(document)).select("file")

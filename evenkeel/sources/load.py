@@ -10,8 +10,10 @@ from pyspark.sql import types as T
 
 from ..functions.typed import typed
 from ..mapping import Mapping
-from .documents import documents_fail, layouts, read_documents
+from .documents import documents_fail, layouts, read_documents, schema_of_documents
 
+#: Up to so many documents, the JSON reader infers their schema without holding a whole one.
+FEW = 32
 SUFFIXES = {".csv": "csv", ".json": "json", ".parquet": "parquet"}
 DECLARED = {
     "numeric": T.DecimalType(38, 10),
@@ -61,14 +63,17 @@ def read_json(
     plain = spark.read.schema(schema) if schema else spark.read
     if multiline is not None:
         return plain.option("multiLine", multiline).json(path)
-    kinds = layouts(spark, path)
+    text = spark.read.text(path)
+    kinds = layouts(text)
     lines, documents, unclear = kinds.select(
         F.count_if("by_line"), F.count_if(~F.col("by_line")), F.count_if(~F.col("by_line") & ~F.col("begun"))
     ).first()
-    if unclear and (bad := [r.file for r in documents_fail(spark, path).limit(5).collect()]):
+    if unclear and (bad := [r.file for r in documents_fail(text).limit(5).collect()]):
         raise ValueError(f"neither JSON lines nor a document: {bad}; say which with multiline")
     if lines and documents:
-        return read_documents(spark, path, schema)
+        return read_documents(spark, path, schema, text)
+    if documents > FEW and schema is None:
+        plain = spark.read.schema(schema_of_documents(spark, path))
     return plain.option("multiLine", bool(documents)).json(path)
 
 

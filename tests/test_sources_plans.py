@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from conftest import values
@@ -8,6 +9,7 @@ from pyspark.sql import types as T
 from evenkeel import ColumnMap, Mapping
 from evenkeel.operators import history
 from evenkeel.plans.prepare import JoinPlan, JoinStep, full_chain, join_tables, prepare_from, route
+from evenkeel.queries.filing import _SUPPLIER, _supplier_files
 from evenkeel.sources import documents as D
 from evenkeel.sources import load as L
 from evenkeel.sources import save as S
@@ -82,6 +84,34 @@ def test_documents_of_all_layouts(spark, tmp_path):
     assert D.read_documents(spark, str(none)).count() == 0
 
 
+def test_many_documents_have_the_schema_that_the_reader_infers(spark, tmp_path):
+    folder = tmp_path / "many.json"
+    folder.mkdir()
+    for i in range(L.FEW + 8):
+        (folder / f"{i}.json").write_text(json.dumps([{"a": i, "b": {"c": [i / 2]}}, {"z": None, f"n{i % 3}": "x"}], indent=1))
+    (folder / "big.json").write_text('{\n"a": 9223372036854775808,\n "b": {"d": true}}')
+    (folder / "mark.json").write_text('\ufeff{\n"a": 1,\n "t": "x"}\n', encoding="utf-8")
+    (folder / "none.json").write_text("")
+    plain = spark.read.option("multiLine", True)
+    assert D.schema_of_documents(spark, str(folder)) == plain.json(str(folder)).schema
+    assert values(L.load(spark, str(folder))) == values(plain.json(str(folder)))
+    (folder / "torn.json").write_text('{\n"a": }')
+    assert D.schema_of_documents(spark, str(folder)) == plain.json(str(folder)).schema
+    assert "_corrupt_record" in L.load(spark, str(folder)).columns
+
+
+def test_supplier_documents_are_files_of_one_folder(spark, tmp_path):
+    """Ten objects of one key in ten have a file each, beside their arrays; copies of a key too."""
+    names = "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"
+    rows = [(i, f'n"{i}', i % 25, i / 4) for i in range(100)] + [(10, "copy", 1, 0.5)]
+    spark.createDataFrame(rows, names).write.parquet(str(tmp_path / "supplier.parquet"))
+    for pretty_only, wanted in ((True, {"layout=document": 13}), (False, {"layout=document": 13, "layout=line": 0})):
+        path = Path(_supplier_files(spark, str(tmp_path), pretty_only))
+        folders = {p.name: sum(f.stat().st_size > 0 for f in p.glob("part-*")) for p in path.iterdir()}
+        assert folders.keys() == wanted.keys() and folders["layout=document"] == wanted["layout=document"]
+        assert values(L.load(spark, str(path)).select(*_SUPPLIER)) == sorted(rows, key=lambda r: [(True, str(v)) for v in r])
+
+
 @pytest.mark.parametrize("first", ['{"a": 1, "b', '"a": 1}', '{"a": {"b": 1}'])
 def test_json_of_unclear_mode_is_an_error(spark, tmp_path, first):
     path = tmp_path / "t.json"
