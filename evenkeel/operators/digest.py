@@ -18,6 +18,8 @@ from .classify import classify, key_columns, key_exprs
 
 #: Bits of the key's hash by which the levels deal their buckets.
 LEVELS = (8, 16)
+#: Bits by which rows are sifted before an exact join, 16 MB however many digests there are, and 64-bit words of a row of them.
+SIFTED, WORDS = 1 << 27, 16
 _SUMS = ["rows", *(f"s{i}" for i in range(4))]
 
 
@@ -144,6 +146,26 @@ def _copies(left: DataFrame, right: DataFrame) -> DataFrame:
     return marks.groupBy("d1", "d2").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
 
 
+def _place(digest: str) -> tuple[Column, Column, Column]:
+    """Where a digest has its bit: row, word and bit of the word."""
+    at = F.col(digest).bitwiseAND(F.lit(SIFTED - 1))
+    word = F.shiftright(at, 6).bitwiseAND(F.lit(WORDS - 1)).cast("int")
+    return F.shiftright(at, 6 + WORDS.bit_length() - 1), word, at.bitwiseAND(F.lit(63)).cast("int")
+
+
+def _sifted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose digest is wanted, and a few others: those that share its bit in a bitmap, which is broadcast.
+
+    An exact join may follow, and few of the rows take part in its shuffle.
+    """
+    row, word, bit = _place("d1")
+    marks = wanted.select(row.alias("_row"), word.alias("_word"), bit.alias("_bit")).repartition("_row")
+    own = [F.expr(f"bit_or(if(_word = {i}, shiftleft(1L, _bit), 0L))") for i in range(WORDS)]
+    bitmap = marks.groupBy("_row").agg(F.array(*own).alias("_words"))
+    met = rows.join(F.broadcast(bitmap), row == F.col("_row"))
+    return met.filter(F.getbit(F.get("_words", word), bit) == 1).select(*rows.columns)
+
+
 def bag_differences(
     source: DataFrame, target: DataFrame, mapping: Mapping, *, null_keys: str = "equal"
 ) -> DataFrame:
@@ -152,7 +174,8 @@ def bag_differences(
     All rows of a key are compared as a bag: equal copies of one (key, digest) are numbered and pair one to
     one, the copies beyond the other side's number are left over. One row per left-over copy: keys, compare
     columns, ``side`` and ``copy``, its number. Digests and counts alone are shuffled, added up before; the
-    values of left-over rows are fetched afterwards. So the cost is linear, whatever a key's copies.
+    values of left-over rows are fetched afterwards, and rows that a bitmap of the unpaired digests rules out
+    stay where they are. So the cost is linear, whatever a key's copies.
     """
     left, right = _tagged(source, mapping, "source", null_keys), _tagged(target, mapping, "target", null_keys)
     unpaired = settle(_copies(left, right).filter("s <> t"))
@@ -161,7 +184,7 @@ def bag_differences(
         values = [c for c in rows.columns if c not in ("d1", "d2")]
         wanted = unpaired.filter(F.col(own) > F.col(other))
         # Rows of one digest are equal, so one of them stands for all.
-        found = rows.join(wanted, ["d1", "d2"]).groupBy("d1", "d2", own, other).agg(*[F.first(v).alias(v) for v in values])
+        found = _sifted(rows, wanted).join(wanted, ["d1", "d2"]).groupBy("d1", "d2", own, other).agg(*[F.first(v).alias(v) for v in values])
         names = [F.col(f"_k{i}").alias(n) for i, n in enumerate(mapping.key_names)]
         names += [F.col(f"_v{i}").alias(n) for i, n in enumerate(mapping.compare_names)]
         return found.select(*names, F.lit(side).alias("side"), F.explode(F.sequence(F.col(other) + 1, F.col(own))).alias("copy"))
