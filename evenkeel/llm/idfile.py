@@ -48,13 +48,10 @@ def pack(ids: np.ndarray, *, block: int = BLOCK, bits: bool = True, level: int =
         part = np.ascontiguousarray(ids[at : at + block], dtype="<u4")
         octets = part.view(np.uint8).reshape(len(part), 4)
         used = max(1, (int(part.max()).bit_length() + 7) // 8)
-        rows = []
-        for p in range(used):
-            if bits:
-                spread = np.unpackbits(octets[:, p, None], axis=1, bitorder="little")
-                rows += list(np.packbits(spread.T, axis=1, bitorder="little"))
-            else:
-                rows.append(octets[:, p])
+        if bits:
+            rows = [np.packbits(part & np.uint32(1 << p) != 0, bitorder="little") for p in range(8 * used)]
+        else:
+            rows = [octets[:, p] for p in range(used)]
         packed = [packer.compress(r.tobytes()) for r in rows]
         index.append(struct.pack("<II", len(part), len(packed)))
         index.append(struct.pack(f"<{len(packed)}I", *map(len, packed)))
@@ -79,27 +76,27 @@ def unpack(value: bytes) -> np.ndarray:
         for size in sizes:
             rows.append(np.frombuffer(reader.decompress(value[at : at + size]), np.uint8))
             at += size
-        octets = np.zeros((n, 4), np.uint8)
-        for p in range(len(rows) // 8 if bits else len(rows)):
+        ids = np.zeros(n, "<u4")
+        for p, row in enumerate(rows):
             if bits:
-                spread = np.unpackbits(np.stack(rows[8 * p : 8 * p + 8]), axis=1, count=n, bitorder="little")
-                octets[:, p] = np.packbits(spread.T, axis=1, bitorder="little")[:, 0]
+                ids |= np.unpackbits(row, count=n, bitorder="little").astype(np.uint32) << np.uint32(p)
             else:
-                octets[:, p] = rows[p]
-        found.append(octets.view("<u4").ravel())
+                ids |= row.astype(np.uint32) << np.uint32(8 * p)
+        found.append(ids)
     return np.concatenate(found)
 
 
 #: Characters up to here have neither compositions nor contextual lower case.
 _PLAIN = "\u0130"
-_MARKS = ".,;:!?"
+#: ASCII marks but the apostrophe, with which a rule joins letters.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class Words:
     """A tokenizer that drops white space, with the ids of words it has seen.
 
     No rule of such a tokenizer looks across white space, so a text's ids are those of its words in turn.
-    A new word of plain letters, with or without a mark behind it, goes to the tokenizer's model in the
+    A new word of plain letters, with or without marks behind it, goes to the tokenizer's model in the
     spelling its normalizer and byte level give; others, and all if a trial of that differs, go whole.
     """
 
@@ -112,8 +109,9 @@ class Words:
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [c for c in map(chr, range(ord(_PLAIN))) if c.isalpha()]
         self.spelling = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in letters}
-        self.marks = {m: self._whole([m])[0] for m in _MARKS}
-        trial = [*letters, "".join(letters), "Though", "naïveté", *(f"Word{m}" for m in _MARKS)]
+        self.tails: dict[str, bytes] = {}
+        trial = [*letters, "".join(letters), "Though", "naïveté", f"Word{_MARKS}"]
+        trial += [f"{word}{m}{n}" for word in ("Word", "é") for m in _MARKS for n in ("", m, m + m, ".", "," + m)]
         self.model = self.tokenizer.model if all(self._plain(w) == self._whole([w])[0] for w in trial) else None
 
     def _whole(self, words: list[str]) -> list[bytes]:
@@ -121,10 +119,15 @@ class Words:
         return [array("I", e.ids).tobytes() for e in encoded]
 
     def _plain(self, word: str) -> bytes | None:
-        """The ids of a word of plain letters and perhaps a mark, else None."""
-        mark = b""
-        if word[-1] in self.marks and len(word) > 1:
-            word, mark = word[:-1], self.marks[word[-1]]
+        """The ids of a word of plain letters and perhaps marks, else None."""
+        tail = b""
+        letters = word.rstrip(_MARKS)
+        if len(letters) < len(word):
+            marks = word[len(letters) :]
+            tail = self.tails.get(marks)
+            if tail is None:
+                tail = self.tails[marks] = self._whole([marks])[0]
+            word = letters
         # ASCII letters are spelled as they are.
         ascii_ = word.isascii()
         if not word.isalpha() or not (ascii_ or max(word) < _PLAIN):
@@ -134,7 +137,7 @@ class Words:
         if found is None:
             spelled = stem if ascii_ else stem.translate(self.spelling)
             found = self.stems[stem] = array("I", [t.id for t in self.tokenizer_model.tokenize(spelled)]).tobytes()
-        return found + mark if mark else found
+        return found + tail if tail else found
 
     def _found(self, word: str) -> bytes:
         plain = self._plain(word) if self.model is not None else None
@@ -148,8 +151,9 @@ class Words:
             return np.array(whole.ids, np.uint32)
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        if len(self.stems) > REMEMBERED:
-            self.stems.clear()
+        for parts in (self.stems, self.tails):
+            if len(parts) > REMEMBERED:
+                parts.clear()
         return np.frombuffer(b"".join(map(self.known.__getitem__, text.split())), "<u4")
 
 

@@ -106,6 +106,23 @@ def test_files_equal_the_library(spark, tmp_path):
     assert idfile.read_documents(spark, empty).count() == 0
 
 
+def test_words_with_marks_behind_are_spelled_from_letters_and_marks():
+    words = idfile.Words(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+    known = [f"{stem}{marks}" for stem in ("word", "Ünï", "don", "ß") for marks in (*idfile._MARKS, ",%%%", "&&&", '."', "?!?!", "_-_")]
+    assert all(words._plain(w) == words._whole([w])[0] for w in known)
+    other = ["don's", "don'", "a,b", "a,'s", "İ!", "e\u0301!", "x1%", "!!", "<|endoftext|>", "word<|endoftext|>", "“a”"]
+    assert [words._plain(w) for w in other] == [None] * len(other)
+    text = " ".join([*known, *other])
+    assert words.ids(text).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_planes_are_bits_of_the_ids_in_order():
+    ids = np.array([1, 0, 3, 70_000], np.uint32)
+    value = idfile.pack(ids)
+    assert value[:9] == b"EKP1\1" + (1).to_bytes(4, "little") and value[9:17] == (4).to_bytes(4, "little") + (24).to_bytes(4, "little")
+    assert idfile.zstandard.ZstdDecompressor().decompress(value[17 + 4 * 24 :][: value[17]]) == bytes([0b0101])
+
+
 def test_forward_sums_all_segmentations():
     pieces = {"▁": 0, "a": 1, "b": 2, "ab": 3, "▁a": 4, "▁ab": 5}
     probs = np.array([[0.1, 0.2], [0.2, 0.1], [0.3, 0.1], [0.15, 0.2], [0.2, 0.3], [0.05, 0.1], [1e-6, 1e-6]])
