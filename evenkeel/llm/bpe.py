@@ -20,6 +20,7 @@ from functools import lru_cache
 import pyarrow as pa
 import regex
 import sentencepiece
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 #: Characters that stand for the bytes 0 to 255: one block of letters without spaces or controls.
@@ -78,9 +79,10 @@ def serialise(entries: list[bytes]) -> bytes:
 
 
 class Codec:
-    """Encode texts to ids and ids to bytes with a serialised model."""
+    """Encode texts to ids and ids to bytes with a serialised model; remembers pre-tokens it has encoded."""
 
     def __init__(self, model: bytes, pattern: str) -> None:
+        self.model, self.pattern = model, pattern
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.find = regex.compile(pattern).findall
         size = self.pieces.get_piece_size() - 1
@@ -89,8 +91,13 @@ class Codec:
             for piece in self.pieces.id_to_piece(list(range(size)))
         ]
         self.decimal = [str(i) for i in range(size)]
+        # What is remembered shares its numbers.
+        self.ids = list(range(size + 1))
         self.known: dict[str, tuple[int, ...]] = {}
 
+    def __reduce__(self):
+        return Codec, (self.model, self.pattern)
+
     def _learn(self, tokens: set[str]) -> None:
         new = [t for t in tokens if t not in self.known]
         if not new:
@@ -101,7 +108,8 @@ class Codec:
         # latin-1 reads each byte as the character of that number; the shift gives its stand-in.
         shifted = [t.encode().decode("latin-1").translate(_AS_TEXT) for t in new]
         ids = self.pieces.encode(shifted, out_type=int, num_threads=1)
-        self.known.update(zip(new, map(tuple, ids), strict=True))
+        shared = self.ids.__getitem__
+        self.known.update(zip(new, (tuple(map(shared, i)) for i in ids), strict=True))
 
     def encode(self, text: str | None) -> list[int]:
         tokens = self.find(text) if text else []
@@ -120,14 +128,22 @@ def codec(model: bytes, pattern: str) -> Codec:
     return Codec(model, pattern)
 
 
+def _shipped(docs: DataFrame, ranks_path: str, pattern: str) -> Broadcast[Codec]:
+    """The codec, for tasks.
+
+    A worker's codec, with the pre-tokens it remembers, belongs to the broadcast: it is one for all tasks of the stage and
+    goes when the worker, which serves later stages too, gets a task without it."""
+    return docs.sparkSession.sparkContext.broadcast(codec(serialise(read_ranks(ranks_path)), pattern))
+
+
 def encode(
     docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, ids array<int>): every text encoded."""
-    model = docs.sparkSession.sparkContext.broadcast(serialise(read_ranks(ranks_path)))
+    shipped = _shipped(docs, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model.value, pattern)
+        own = shipped.value
         for batch in batches:
             ids = [own.encode(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -140,10 +156,10 @@ def encode(
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id") -> DataFrame:
     """(id, bytes binary): the inverse of ``encode``."""
-    model = encoded.sparkSession.sparkContext.broadcast(serialise(read_ranks(ranks_path)))
+    shipped = _shipped(encoded, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model.value, pattern)
+        own = shipped.value
         for batch in batches:
             texts = [own.decode(i or ()) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -156,11 +172,11 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str, *, with_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, and ids if asked): encode, decode the ids, digest both."""
-    model = docs.sparkSession.sparkContext.broadcast(serialise(read_ranks(ranks_path)))
+    shipped = _shipped(docs, ranks_path, pattern)
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model.value, pattern)
+        own = shipped.value
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)

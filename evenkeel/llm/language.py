@@ -270,19 +270,16 @@ def fit(docs: DataFrame, vocabulary_path: str, *, fit_docs: int = 1000, rounds:
     return Model(vocabulary, langs, probs)
 
 
-_OWN: dict[int, Model] = {}
-
-
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents, all their columns, with lang_pred and score (or names like these that are free)."""
+    """The documents, all their columns, with lang_pred and score (or names like these that are free).
+
+    A worker's model, with the words it remembers, belongs to the broadcast: it is one for all tasks of the stage and goes
+    when the worker, which serves later stages too, gets a task without it."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if id(shipped.value) not in _OWN:
-            _OWN.clear()
-            _OWN[id(shipped.value)] = shipped.value
-        own = _OWN[id(shipped.value)]
+        own = shipped.value
         for batch in batches:
             found = [own.predict(t.as_py()) for t in batch.column(at)]
             more = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]

@@ -178,7 +178,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
             at = 0
             while at < batch.num_rows:
                 bags, sketches, start, total = [], [], at, 0
-                while at < batch.num_rows and total < 400_000 and at - start < 4096:
+                while at < batch.num_rows and total < 100_000 and at - start < 4096:
                     whole = shingles(batch.column(2)[at].as_py())
                     bags.append(np.unique(whole, return_counts=True))
                     sketches.append(odd_sketch(elements(whole)))

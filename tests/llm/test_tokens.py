@@ -166,6 +166,27 @@ def test_language_odd_rows(spark):
     assert language.fit(unlabelled, public_tokenizers.path(queries.VOCABULARY)).predict("the text") == ("und", 0.0)
 
 
+def test_workers_keep_no_model_after_its_stage(spark):
+    def held(batches):
+        import gc
+
+        import pyarrow as pa
+
+        for _ in batches:
+            pass
+        gc.collect()
+        kinds = {("evenkeel.llm.language", "Model"), ("evenkeel.llm.bpe", "Codec")}
+        found = sum((type(x).__module__, type(x).__name__) in kinds for x in gc.get_objects())
+        yield pa.RecordBatch.from_arrays([pa.array([found])], names=["found"])
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    language.keep_known(docs, public_tokenizers.path(queries.VOCABULARY), rounds=1).count()
+    bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).filter("n_tokens >= 0").collect()
+    # More tasks than workers, so that each idle one gets some.
+    rows = spark.range(96).repartition(96).mapInArrow(held, "found long").collect()
+    assert len(rows) == 96 and sum(r.found for r in rows) == 0
+
+
 def test_words_of_any_length_are_summed_whole():
     pieces = {"▁": 0, "a": 1, "b": 2, "ab": 3, "▁a": 4, "bab": 5}
     probs = np.array([[0.1, 0.2], [0.2, 0.1], [0.3, 0.1], [0.15, 0.2], [0.2, 0.3], [0.05, 0.1], [1e-6, 1e-6]])
