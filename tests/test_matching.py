@@ -15,6 +15,8 @@ from evenkeel.operators.matching import backfill, keyed_names, match_columns, si
 from evenkeel.operators.profile import infer_types
 from evenkeel.operators.sharing import match_by_values
 from evenkeel.plans.generate import generate_mapping
+from evenkeel.queries import matching as queries
+from evenkeel.queries.inputs import run
 
 
 def key(name):
@@ -253,3 +255,49 @@ def test_names_of_narrow_pairs_are_not_cut_into_pieces(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     plan = plan[: plan.index("== Initial Plan ==")]
     assert "Generate explode" not in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("measure, wished", [("levenshtein", True), ("sequence", False)])
+def test_the_catalog_is_not_made_for_each_step(spark, measure, wished):
+    """Where no pair is wide, the catalog is made once, and once more to look for columns without a pair."""
+    rows = [(f"p{i}", side, f"customer_total_{i}_{k}", k) for i in range(60) for side in ("source", "target") for k in range(4)]
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    plain = spark.createDataFrame(rows, "pair string, side string, column_name string, ordinal int")
+    wishes = spark.createDataFrame([("p1", "customer_total_1_1", "x")], "pair string, source_column string, target_column string")
+    found = match_columns(plain.mapInArrow(counted, plain.schema), wishes if wished else None, measure=measure)
+    assert len(found.collect()) == 60 * 4
+    assert made.value <= 2 * len(rows)
+
+
+def test_odd_columns_of_narrow_and_wide_pairs(spark, monkeypatch):
+    """Copies with and without an ordinal, sides unknown or other, columns without a pair or a name."""
+    rows = [("p", "source", "aaaaa", None), ("p", "source", "aaaaa", 9), ("p", "source", "bbbbb", 5), ("p", "target", "zzzzz", 1)]
+    rows += [("p", None, "m", 1), ("p", None, "m", 2), ("p", "other", "n", 1), ("p", "source", None, 3), ("p", "target", None, 3)]
+    rows += [(None, "source", "q", i) for i in range(4)] + [(None, "target", "q", 1), (None, None, None, 1)]
+    wishes = [("p", "aaaaa", "zzzzz"), ("p", "bbbbb", "zzzzz"), ("p", "bbbbb", None), (None, "q", "q")]
+    catalog = spark.createDataFrame(rows, "pair string, side string, column_name string, ordinal int")
+    overrides = spark.createDataFrame(wishes, "pair string, source_column string, target_column string")
+    wanted = [
+        ("p", "bbbbb", "zzzzz", "override"), ("p", "aaaaa", None, "unmapped_source"), ("p", None, None, "unmapped_source"),
+        ("p", None, None, "unmapped_target"), ("p", None, "m", None), ("p", None, "n", "unmapped_other"),
+        (None, "q", None, "unmapped_source"), (None, None, "q", "unmapped_target"), (None, None, None, None),
+    ]
+    for narrow in (256, 0):
+        monkeypatch.setattr("evenkeel.operators.matching.NARROW", narrow)
+        found = match_columns(catalog, overrides, measure="levenshtein")
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(wanted, key=str)
+
+
+def test_names_to_back_fill_from_take_one_join(spark, tmp_path):
+    lines = [(1, 1, 1, 7), (1, 2, 2, 8), (2, 1, 3, 9), (2, 2, 4, 6), (None, 3, 1, 7)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "hot bolt"), (2, "old ring"), (3, None)], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    found = queries._same_names(spark, str(tmp_path))
+    assert values(found) == values(run(spark, str(tmp_path), queries._SAME_NAMES))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
